@@ -15,7 +15,7 @@ q("h04_router_stream", " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*)
 q("h05_typed_defaults", "SELECT event_timestamp IS NULL AS untimed, facility_name = '' AS unnamed, has_open_care_gaps, open_gap_measures, COUNT(*) AS row_count FROM adt_events GROUP BY 1, 2, 3, 4")
 q("h06_backfill", "SELECT event_id, event_timestamp, claim_amount FROM claims_events WHERE NOT claim_amount > 2000")
 EV = "json_extract_string(body, '$.event_id')"
-q("h07_landing_status", f"""SELECT tag, COUNT(*) AS row_count, COUNT(DISTINCT CASE WHEN ok THEN {EV} ELSE regexp_extract(body, 'EV[0-9]+') END) AS event_count, COUNT(*) FILTER (WHERE NOT ok) AS corrupt_count FROM landing GROUP BY 1""")
+q("h07_landing_status", f"""SELECT tag, COUNT(*) AS row_count, COUNT(DISTINCT CASE WHEN ok THEN {EV} END) AS event_count, COUNT(*) FILTER (WHERE NOT ok) AS corrupt_count FROM landing GROUP BY 1""")
 _DAYS = {"clinical_deterioration_events": 90, "mortality_hai_events": 365, "net_revenue_variance_events": 365, "ops_capacity_events": 90, "staffing_acuity_events": 90, "dq_violation_events": 90,
          "audit_access_events": 365, "model_drift_events": 180, "coo_alerts": 365, "cto_alerts": 365, "alert_closure_events": 730}
 

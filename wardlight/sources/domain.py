@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardlight import reference_data as ref
 
-SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels")
 
 # Business day on which the batch tables are evaluated, and moment of the event tables.
 AS_OF = "2002-01-01"
