@@ -14,7 +14,7 @@ PERCENTILE_ACCURACY = 100000
 
 def mean_score(col: str) -> Column:
     """Mean of a score or rate, to six places."""
-    return F.round(F.avg(col), 6)
+    return s.rounded(F.avg(col), 6)
 
 
 def quantile(col: str | Column, p: float) -> Column:
@@ -65,7 +65,7 @@ def agg_drg(fe: DataFrame) -> DataFrame:
         *[s.total(c).alias(f"total_{n}") for n, c in money.items()])
     margin = F.col("avg_expected_reimbursement") - F.col("avg_cost_to_deliver")
     pct = F.when(F.col("avg_cost_to_deliver") > 0, margin / F.col("avg_cost_to_deliver") * 100).otherwise(F.lit(0.0))
-    return grouped.withColumns({"margin_per_case": F.round(margin, 4), "margin_pct": F.round(pct, 6)})
+    return grouped.withColumns({"margin_per_case": s.rounded(margin, 4), "margin_pct": s.rounded(pct, 6)})
 
 
 def agg_ar(fc: DataFrame, payer: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def agg_star(star: DataFrame, payer: DataFrame) -> DataFrame:
 
 def agg_star_overall(star: DataFrame) -> DataFrame:
     return star.groupBy("payer_key", "measurement_year").agg(
-        F.round(s.ratio(F.sum("weighted_score"), F.sum("weight")), 6).alias("overall_star_score"),
+        s.rounded(s.ratio(F.sum("weighted_score"), F.sum("weight")), 6).alias("overall_star_score"),
         F.sum("weight").alias("total_weight"), F.count(F.lit(1)).alias("measure_count"))
 
 
@@ -196,7 +196,7 @@ def alert_facts(alerts: DataFrame, closures: DataFrame) -> DataFrame:
         "alert_id", "patient_id", s.date_key("alert_timestamp").alias("date_key"), F.hour("alert_timestamp").alias("alert_hour"),
         F.col("alert_type").alias("alert_code"), "severity", severity_rank(F.col("severity")).alias("severity_rank"), F.col("score").alias("measured_value"),
         F.when(F.col("acknowledged_at").isNotNull(), 1).otherwise(0).alias("was_acknowledged"), "acknowledged_by", "acknowledged_at",
-        F.round(seconds / F.lit(60.0), 4).alias("response_time_minutes"))
+        s.rounded(seconds / F.lit(60.0), 4).alias("response_time_minutes"))
 
 
 # --- finance questions with a shape of their own ------------------------------------------------
@@ -227,5 +227,5 @@ def payer_mix(fc: DataFrame, payer: DataFrame, by: list[str] | None = None) -> D
     grouped = fc.join(_payer_names(payer), "payer_key", "left").groupBy(*by, "payer_type").agg(
         F.count(F.lit(1)).alias("claim_count"), s.total("billed_amount").alias("total_billed"), s.total("paid_amount").alias("total_paid"))
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    return grouped.withColumns({"claim_share": F.round(s.ratio(F.col("claim_count"), F.sum("claim_count").over(whole)), 6),
-                                "billed_share": F.round(s.ratio(F.col("total_billed"), F.sum("total_billed").over(whole)), 6)})
+    return grouped.withColumns({"claim_share": s.rounded(s.ratio(F.col("claim_count"), F.sum("claim_count").over(whole)), 6),
+                                "billed_share": s.rounded(s.ratio(F.col("total_billed"), F.sum("total_billed").over(whole)), 6)})

@@ -32,7 +32,7 @@ def psi(base: DataFrame, cur: DataFrame, col: str, bins: list[float]) -> DataFra
     p = F.greatest(s.ratio(F.col("b"), _total(counts, "b")), F.lit(EMPTY_SHARE))
     q = F.greatest(s.ratio(F.col("c"), _total(counts, "c")), F.lit(EMPTY_SHARE))
     shares = counts.select(p.alias("p"), q.alias("q"))
-    return shares.agg(F.round(F.sum((F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))), 6).alias("psi"),
+    return shares.agg(s.rounded(F.sum((F.col("p") - F.col("q")) * F.log(F.col("p") / F.col("q"))), 6).alias("psi"),
                       F.count(F.lit(1)).alias("bins_used"))
 
 
@@ -42,4 +42,4 @@ def ks(base: DataFrame, cur: DataFrame, col: str) -> DataFrame:
     base_rows, current_rows = _total(counts, "b"), _total(counts, "c")
     gap = F.abs(s.ratio(F.col("run_b"), base_rows) - s.ratio(F.col("run_c"), current_rows))
     gaps = counts.select(gap.alias("gap"), "b", "c")
-    return gaps.agg(F.round(F.max("gap"), 6).alias("ks"), F.sum("b").alias("base_rows"), F.sum("c").alias("current_rows"))
+    return gaps.agg(s.rounded(F.max("gap"), 6).alias("ks"), F.sum("b").alias("base_rows"), F.sum("c").alias("current_rows"))

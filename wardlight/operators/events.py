@@ -81,7 +81,7 @@ def throughput(parsed: DataFrame, as_of: str, interval: str = "15 minutes") -> D
     """Events per minute and per second, per tag."""
     rows = lookback(_with_lag(parsed), "event_ts", as_of, interval)
     per_minute = tumbling(rows, "event_ts", "1 minute", ["_table"])
-    return per_minute.withColumn("events_per_sec", F.round(F.col("event_count") / F.lit(60.0), 6))
+    return per_minute.withColumn("events_per_sec", s.rounded(F.col("event_count") / F.lit(60.0), 6))
 
 
 def apply_retention(df: DataFrame, ts: str, days: int, as_of: str) -> DataFrame:

@@ -38,7 +38,7 @@ def amount_score(df: DataFrame) -> DataFrame:
     """Deviations above the clinician's mean; needs the baseline columns."""
     std = F.col("hist_std_amount")
     z = F.when(std > 0, (F.col("claim_amount") - F.col("hist_avg_amount")) / std).otherwise(F.lit(0.0))
-    df = df.withColumn("amount_zscore", F.round(z, 6))
+    df = df.withColumn("amount_zscore", s.rounded(z, 6))
     z = F.col("amount_zscore")
     return df.withColumn("amount_score", F.when(z > 2, F.least(F.lit(25.0), (z - 2) * 10)).otherwise(F.lit(0.0)))
 
@@ -56,7 +56,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 def geo_score(df: DataFrame) -> DataFrame:
     """Distance in degrees between claim and facility; needs fac_lat and fac_lon."""
     d = degrees_apart(F.col("latitude"), F.col("longitude"), F.col("fac_lat"), F.col("fac_lon"))
-    df = df.withColumn("geo_distance_deg", F.round(d, 6))
+    df = df.withColumn("geo_distance_deg", s.rounded(d, 6))
     d = F.col("geo_distance_deg")
     return df.withColumn("geo_score", F.when(d > 1, F.least(F.lit(25.0), d * 5)).otherwise(F.lit(0.0)))
 
@@ -77,7 +77,7 @@ def fraud_scores(claims: DataFrame, providers: DataFrame, facilities: DataFrame,
     parts = {"velocity_burst": "velocity_score", "amount_outlier": "amount_score", "geo_anomaly": "geo_score", "upcoding": "upcoding_score"}
     total = sum((F.col(c) for c in parts.values()), F.lit(0.0))
     df = df.withColumns({
-        "fraud_score": F.round(total, 2),
+        "fraud_score": s.rounded(total, 2),
         "fraud_flags": F.concat_ws("|", *[F.when(F.col(c) > 0, F.lit(name)) for name, c in parts.items()]),
     })
     return df.select(
@@ -94,8 +94,8 @@ def money_of(col: str) -> Column:
 
 def fraud_summary(scores: DataFrame) -> DataFrame:
     grouped = scores.groupBy("risk_tier").agg(
-        F.count(F.lit(1)).alias("claim_count"), F.round(F.avg("fraud_score"), 1).alias("avg_score"),
-        F.round(F.max("fraud_score"), 1).alias("max_score"), money_of("claim_amount").alias("total_amount"))
+        F.count(F.lit(1)).alias("claim_count"), s.rounded(F.avg("fraud_score"), 1).alias("avg_score"),
+        s.rounded(F.max("fraud_score"), 1).alias("max_score"), money_of("claim_amount").alias("total_amount"))
     return grouped.orderBy(severity_rank(F.col("risk_tier")))
 
 
@@ -103,5 +103,5 @@ def fraud_top_providers(scores: DataFrame, providers: DataFrame, n: int = 10) ->
     """Clinicians with the highest mean score over their critical and high claims."""
     names = providers.filter(F.col("is_current") == 1).select("provider_id", F.col("display_name").alias("provider_name"), "specialty")
     grouped = scores.filter(F.col("risk_tier").isin("CRITICAL", "HIGH")).groupBy("provider_id").agg(
-        F.count(F.lit(1)).alias("flagged_claims"), F.round(F.avg("fraud_score"), 1).alias("avg_fraud_score"), money_of("claim_amount").alias("total_flagged_amount"))
+        F.count(F.lit(1)).alias("flagged_claims"), s.rounded(F.avg("fraud_score"), 1).alias("avg_fraud_score"), money_of("claim_amount").alias("total_flagged_amount"))
     return grouped.join(names, "provider_id", "left").orderBy(F.col("avg_fraud_score").desc(), "provider_id").limit(n)

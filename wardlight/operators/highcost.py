@@ -82,7 +82,7 @@ def highcost_alerts(claims: DataFrame, adt: DataFrame, patients: DataFrame, faci
 
 
 def _mean_spend(col: str, places: int = 0):
-    return F.round(s.ratio(F.sum(F.col(col).cast("decimal(18,2)")), F.count(col)), places)
+    return s.rounded(s.ratio(F.sum(F.col(col).cast("decimal(18,2)")), F.count(col)), places)
 
 
 def highcost_summary(alerts: DataFrame, by: str) -> DataFrame:
@@ -90,9 +90,9 @@ def highcost_summary(alerts: DataFrame, by: str) -> DataFrame:
     if by == "risk_tier":
         return alerts.groupBy("risk_tier").agg(
             F.count(F.lit(1)).alias("patients"), _mean_spend("rolling_spend_30d").alias("avg_spend_30d"), _mean_spend("rolling_spend_90d").alias("avg_spend_90d"),
-            F.round(F.avg("ed_visits_30d"), 1).alias("avg_ed_visits"), F.count_if(F.col("readmission_flag")).alias("readmissions"))
+            s.rounded(F.avg("ed_visits_30d"), 1).alias("avg_ed_visits"), F.count_if(F.col("readmission_flag")).alias("readmissions"))
     return alerts.groupBy("cost_trend").agg(F.count(F.lit(1)).alias("members"), _mean_spend("rolling_spend_30d").alias("avg_30d_spend"),
-                                            F.round(F.avg("ed_visits_30d"), 1).alias("avg_ed_visits"))
+                                            s.rounded(F.avg("ed_visits_30d"), 1).alias("avg_ed_visits"))
 
 
 def highcost_top(alerts: DataFrame, n: int = 15) -> DataFrame:

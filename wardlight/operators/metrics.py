@@ -92,7 +92,7 @@ def _sum(col: str) -> Callable[[], Column]:
 
 
 def _mean(col: str) -> Callable[[], Column]:
-    return lambda: F.round(F.avg(F.col(col).cast("double")), 6)
+    return lambda: s.rounded(F.avg(F.col(col).cast("double")), 6)
 
 
 def distinct_count(col: str) -> Column:
@@ -162,16 +162,16 @@ MEASURES: dict[str, Measure | Derived] = {
     "total_cost": Measure(_ENC, _sum("total_cost")),
     "avg_drg_weight": Measure(_ENC, _mean("drg_weight")),
     "total_expected_reimbursement": Measure(_ENC, _sum("expected_reimbursement")),
-    "drg_margin": Derived(("total_expected_reimbursement", "total_cost"), lambda r, c: F.round(s.ratio(r - c, r), 6)),
+    "drg_margin": Derived(("total_expected_reimbursement", "total_cost"), lambda r, c: s.rounded(s.ratio(r - c, r), 6)),
     "total_rx_cost": Measure(_RX, _sum("total_cost")),
     "calendar_months": Measure("dim_date", lambda: F.countDistinct("dim_date.year", "dim_date.month_number")),
     "calendar_month_numbers": Measure("dim_date", lambda: F.countDistinct("dim_date.month_number")),
     "pmpm": Derived(("total_cost", "total_rx_cost", "total_patients", "calendar_months"),
-                    lambda c, r, p, m: F.round(s.ratio(c + F.coalesce(r, F.lit(0.0)), p * F.greatest(m, F.lit(1))), 6)),
+                    lambda c, r, p, m: s.rounded(s.ratio(c + F.coalesce(r, F.lit(0.0)), p * F.greatest(m, F.lit(1))), 6)),
     "avg_cost_per_encounter": _over("total_cost", "total_encounters"),
     "inpatient_encounters": Measure(_ENC, _count(_is("encounter_type", "Inpatient"))),
     "emergency_encounters": Measure(_ENC, _count(_is("encounter_type", "Emergency"))),
-    "quality_score": Derived(("readmission_rate", "adherent_rate", "denial_rate"), lambda r, a, d: F.round(((1 - r) + a + (1 - d)) / 3, 6)),
+    "quality_score": Derived(("readmission_rate", "adherent_rate", "denial_rate"), lambda r, a, d: s.rounded(((1 - r) + a + (1 - d)) / 3, 6)),
     "total_fills": Measure(_RX, _n),
     "avg_rx_cost_per_fill": _over("total_rx_cost", "total_fills"),
     "generic_fill_rate": Measure(_RX, _share(_is("is_generic", 1))),
@@ -187,7 +187,7 @@ MEASURES: dict[str, Measure | Derived] = {
     "avg_hcc_count": Measure("agg_raf_score", _mean("hcc_count")),
     "members_with_hccs": Measure("agg_raf_score", lambda: F.countDistinct(F.when(F.col("hcc_count") > 0, F.col("member_key")))),
     "avg_star_score": Measure("agg_star_rating", _mean("star_score")),
-    "weighted_star_score": Measure("agg_star_rating", lambda: F.round(s.ratio(F.sum("weighted_score"), F.sum("weight")), 6)),
+    "weighted_star_score": Measure("agg_star_rating", lambda: s.rounded(s.ratio(F.sum("weighted_score"), F.sum("weight")), 6)),
     "overall_star_score": Measure("agg_star_rating_overall", _mean("overall_star_score")),
     "contract_count": Measure("bridge_provider_contract", _n),
     "in_network_contract_rate": Measure("bridge_provider_contract", _share(lambda: F.col("is_in_network"))),
@@ -320,7 +320,7 @@ def evaluate(tables: Tables, measures: list[str], by: list[str] | None = None, f
     shown = out.select(*keys, *[_value(n).alias(n) for n in measures])
     if order:
         direction = F.col(order).asc_nulls_last() if ascending else F.col(order).desc_nulls_last()
-        shown = shown.orderBy(direction, *keys)
+        shown = shown.orderBy(direction, *[F.col(k).asc_nulls_last() for k in keys])
     return shown.limit(top) if top else shown
 
 
@@ -336,7 +336,7 @@ def prior_year(df: DataFrame, value: str, year: str = "year", keys: list[str] |
     keys = keys or []
     before = df.select((F.col(year) + 1).alias(year), *keys, F.col(value).alias(f"py_{value}"))
     joined = df.join(before, [year, *keys], "left")
-    return joined.withColumn("yoy_growth", F.round(s.ratio(F.col(value) - F.col(f"py_{value}"), F.col(f"py_{value}")), 6))
+    return joined.withColumn("yoy_growth", s.rounded(s.ratio(F.col(value) - F.col(f"py_{value}"), F.col(f"py_{value}")), 6))
 
 
 def to_date(df: DataFrame, value: str, period: list[str], order: str, name: str) -> DataFrame:
@@ -373,4 +373,4 @@ def calibrated_accuracy(labels: DataFrame, calibration: DataFrame) -> DataFrame:
     out = seen.withColumns({"tpr": rates.select("tpr").scalar(), "fpr": rates.select("fpr").scalar()})
     gap = F.when(F.col("tpr") - F.col("fpr") > 1e-6, F.col("tpr") - F.col("fpr")).otherwise(F.lit(1.0))
     corrected = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("observed") - F.col("fpr")) / gap))
-    return out.withColumn("calibrated", F.round(corrected, 6)).withColumns({c: F.round(c, 6) for c in ("observed", "tpr", "fpr")})
+    return out.withColumn("calibrated", s.rounded(corrected, 6)).withColumns({c: s.rounded(c, 6) for c in ("observed", "tpr", "fpr")})

@@ -39,7 +39,7 @@ def _points(*rules: tuple[Column, float]) -> Column:
 
 def _clamped(parts: list[Column]) -> Column:
     total = reduce(lambda a, b: a + b, parts)
-    return F.round(F.least(F.greatest(total, F.lit(0.01)), F.lit(0.99)), 4)
+    return s.rounded(F.least(F.greatest(total, F.lit(0.01)), F.lit(0.99)), 4)
 
 
 # --- readmission --------------------------------------------------------------------
@@ -153,7 +153,7 @@ def svi(df: DataFrame, weights: dict[str, float] = ref.SVI_WEIGHTS, cuts: tuple[
     parts += [(F.lit(1.0) - F.col(c).cast("double")) * F.lit(w) for c, w in (inverse or {}).items()]
     if extra is not None:
         parts.append(extra)
-    df = df.withColumn("composite_svi_score", F.round(reduce(lambda a, b: a + b, parts), 4))
+    df = df.withColumn("composite_svi_score", s.rounded(reduce(lambda a, b: a + b, parts), 4))
     return df.withColumn("risk_tier", tier(F.col("composite_svi_score"), (cuts[0], "High"), (cuts[1], "Medium"), otherwise="Low", strict=strict))
 
 
@@ -205,7 +205,7 @@ def hedis_rollup(gaps: DataFrame, enrollment: DataFrame, year: int) -> DataFrame
         F.count(F.lit(1)).alias("denominator_eligible"),
         F.count_if(~F.col("is_gap_open").cast("boolean")).alias("numerator_met"))
     return grouped.withColumns({"measurement_year": F.lit(year),
-                                "compliance_rate": F.round(s.ratio(F.col("numerator_met"), F.col("denominator_eligible")), 4)})
+                                "compliance_rate": s.rounded(s.ratio(F.col("numerator_met"), F.col("denominator_eligible")), 4)})
 
 
 def raf_score(patients: DataFrame, dx: DataFrame, hcc: DataFrame, enrollment: DataFrame, as_of: str | Column) -> DataFrame:
@@ -223,13 +223,13 @@ def raf_score(patients: DataFrame, dx: DataFrame, hcc: DataFrame, enrollment: Da
     ill = F.coalesce(F.col("_disease"), F.lit(0.0))
     return df.select(
         F.col("patient_id").alias("member_id"), "payer_id", "plan_id", F.coalesce("hcc_count", F.lit(0)).alias("hcc_count"), "hcc_codes",
-        F.round(F.col("_demo"), 4).alias("demographic_score"), F.round(ill, 4).alias("disease_score"), F.round(F.col("_demo") + ill, 4).alias("raf_score"))
+        s.rounded(F.col("_demo"), 4).alias("demographic_score"), s.rounded(ill, 4).alias("disease_score"), s.rounded(F.col("_demo") + ill, 4).alias("raf_score"))
 
 
 def drg_reimbursement(df: DataFrame, drg: DataFrame) -> DataFrame:
     """Weight times base rate of the encounter's DRG."""
     rates = small(drg.select(F.col("drg").alias("drg_code"), "weight", "base_rate"))
-    return df.join(rates, "drg_code", "left").withColumn("drg_payment", F.round(F.col("weight") * F.col("base_rate"), 2))
+    return df.join(rates, "drg_code", "left").withColumn("drg_payment", s.rounded(F.col("weight") * F.col("base_rate"), 2))
 
 
 def member_months(spans: DataFrame, start: str = "coverage_from", end: str = "coverage_to") -> DataFrame:
@@ -244,8 +244,8 @@ def member_months(spans: DataFrame, start: str = "coverage_from", end: str = "co
 def revenue_variance(df: DataFrame) -> DataFrame:
     """Actual against expected payment, in dollars and percent."""
     gap = F.col("actual_payment") - F.col("expected_payment")
-    pct = F.when(F.col("expected_payment") != 0, F.round(s.ratio(gap, F.col("expected_payment")) * 100, 2)).otherwise(F.lit(0.0))
-    return df.withColumns({"variance_dollars": F.round(gap, 2), "variance_pct": pct})
+    pct = F.when(F.col("expected_payment") != 0, s.rounded(s.ratio(gap, F.col("expected_payment")) * 100, 2)).otherwise(F.lit(0.0))
+    return df.withColumns({"variance_dollars": s.rounded(gap, 2), "variance_pct": pct})
 
 
 def underpayments(df: DataFrame, limit: float = -5.0) -> DataFrame:
@@ -256,7 +256,7 @@ def staffing_gap(df: DataFrame) -> DataFrame:
     """Patients per nurse, the target by acuity, and the nurses missing."""
     target = F.when(F.col("acuity_score") < 3.0, 4.0).otherwise(3.0)
     missing = (F.col("patient_count") / target - F.col("nurse_count")).cast("int")
-    return df.withColumns({"ratio_actual": F.round(s.ratio(F.col("patient_count"), F.col("nurse_count")), 2),
+    return df.withColumns({"ratio_actual": s.rounded(s.ratio(F.col("patient_count"), F.col("nurse_count")), 2),
                            "ratio_target": target, "staffing_gap": F.greatest(F.lit(0), missing)})
 
 
@@ -271,13 +271,13 @@ def hai_severity(df: DataFrame) -> DataFrame:
 
 def utilization(df: DataFrame) -> DataFrame:
     share = F.when(F.col("threshold_value") != 0, F.col("current_value") / F.col("threshold_value") * 100).otherwise(F.lit(0.0))
-    return df.withColumn("utilization_pct", F.round(share, 1))
+    return df.withColumn("utilization_pct", s.rounded(share, 1))
 
 
 def dq_violation(df: DataFrame) -> DataFrame:
     """Violations as count and percent of the expected value, with severity."""
     gap = F.abs(F.col("expected_value") - F.col("actual_value"))
-    pct = F.when(F.col("expected_value") != 0, F.round(gap / F.col("expected_value") * 100, 2)).otherwise(F.lit(0.0))
+    pct = F.when(F.col("expected_value") != 0, s.rounded(gap / F.col("expected_value") * 100, 2)).otherwise(F.lit(0.0))
     df = df.withColumns({"violation_count": gap.cast("int"), "violation_pct": pct})
     return df.withColumn("severity", tier(F.col("violation_pct"), (10, "CRITICAL"), (5, "HIGH"), (1, "MEDIUM"), otherwise="LOW", strict=True))
 
@@ -290,8 +290,8 @@ def hrrp_penalty(enc: DataFrame, expected: DataFrame) -> DataFrame:
     rates = enc.join(conditions, "primary_diagnosis_code").groupBy("facility_key", "hrrp_condition", "expected_rate").agg(
         F.count(F.lit(1)).alias("discharges"), F.sum("readmission_flag").alias("readmissions"))
     excess = s.ratio(s.ratio(F.col("readmissions"), F.col("discharges")), F.col("expected_rate"))
-    return rates.withColumn("excess_ratio", F.round(excess, 6)).withColumn(
-        "penalty", F.round(F.least(F.lit(ref.HRRP_MAX_PENALTY), F.greatest(F.lit(0.0), F.col("excess_ratio") - 1)), 6))
+    return rates.withColumn("excess_ratio", s.rounded(excess, 6)).withColumn(
+        "penalty", s.rounded(F.least(F.lit(ref.HRRP_MAX_PENALTY), F.greatest(F.lit(0.0), F.col("excess_ratio") - 1)), 6))
 
 
 def star_from_cutpoints(df: DataFrame, by: list[str], score: str, weight: str = "weight", domain: str = "domain") -> DataFrame:
@@ -313,6 +313,6 @@ def star_from_cutpoints(df: DataFrame, by: list[str], score: str, weight: str =
 def star_rollup(df: DataFrame, by: list[str], weight: str = "weight") -> DataFrame:
     """Stars weighted by measure, per domain and overall."""
     domain = df.groupBy(*by, "domain").agg(F.sum(F.col("stars") * F.col(weight)).alias("_s"), F.sum(weight).alias("_w"))
-    per_domain = domain.select(*by, "domain", F.round(s.ratio(F.col("_s"), F.col("_w")), 6).alias("domain_stars"), "_s", "_w")
-    overall = per_domain.groupBy(*by).agg(F.round(s.ratio(F.sum("_s"), F.sum("_w")), 6).alias("overall_stars"))
+    per_domain = domain.select(*by, "domain", s.rounded(s.ratio(F.col("_s"), F.col("_w")), 6).alias("domain_stars"), "_s", "_w")
+    overall = per_domain.groupBy(*by).agg(s.rounded(s.ratio(F.sum("_s"), F.sum("_w")), 6).alias("overall_stars"))
     return per_domain.drop("_s", "_w").join(overall, by)

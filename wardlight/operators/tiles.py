@@ -116,12 +116,12 @@ def _placed(df: DataFrame) -> DataFrame:
 def k04_claims_map(t: Tables, f: Filters) -> DataFrame:
     rows = _placed(_claims(t, f)).join(_facility_names(t), "facility_id", "left")
     return rows.groupBy("latitude", "longitude", "facility_id", "facility").agg(
-        F.count(F.lit(1)).alias("claims"), F.round(s.ratio(money_of("claim_amount"), F.count("claim_amount")), 2).alias("avg_amount"))
+        F.count(F.lit(1)).alias("claims"), s.rounded(s.ratio(money_of("claim_amount"), F.count("claim_amount")), 2).alias("avg_amount"))
 
 
 def k04_fraud_map(t: Tables, f: Filters) -> DataFrame:
     rows = _placed(_fraud(t, f).filter(F.col("fraud_score") >= 50)).join(_facility_names(t), "facility_id", "left")
-    return rows.groupBy("latitude", "longitude", "facility").agg(F.count(F.lit(1)).alias("alert_count"), F.round(F.avg("fraud_score"), 2).alias("avg_score"))
+    return rows.groupBy("latitude", "longitude", "facility").agg(F.count(F.lit(1)).alias("alert_count"), s.rounded(F.avg("fraud_score"), 2).alias("avg_score"))
 
 
 def k04_care_gap_map(t: Tables, f: Filters) -> DataFrame:
@@ -131,7 +131,7 @@ def k04_care_gap_map(t: Tables, f: Filters) -> DataFrame:
 
 
 def _spend_by(df: DataFrame, *keys: Column | str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("patients"), F.round(s.ratio(money_of("rolling_spend_30d"), F.count("rolling_spend_30d")), 2).alias("avg_spend"),
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("patients"), s.rounded(s.ratio(money_of("rolling_spend_30d"), F.count("rolling_spend_30d")), 2).alias("avg_spend"),
                                  F.min("risk_tier").alias("risk_tier"))
 
 
@@ -192,8 +192,8 @@ def k10_mttr_stat(alerts: DataFrame, closures: DataFrame) -> DataFrame:
     """Totals, close rate and mean time over alerts."""
     timed = views.alert_mttr(alerts, closures)
     grouped = timed.agg(F.count(F.lit(1)).alias("total_alerts"), F.count_if(F.col("status") == "CLOSED").alias("closed"), F.count_if(F.col("status") == "OPEN").alias("open"),
-                        F.round(F.avg("mttr_seconds"), 0).alias("avg_mttr_sec"))
-    return grouped.withColumns({"avg_mttr_min": F.round(F.col("avg_mttr_sec") / 60.0, 1), "close_rate_pct": F.round(s.ratio(F.col("closed") * 100, F.col("total_alerts")), 1)})
+                        s.rounded(F.avg("mttr_seconds"), 0).alias("avg_mttr_sec"))
+    return grouped.withColumns({"avg_mttr_min": s.rounded(F.col("avg_mttr_sec") / 60.0, 1), "close_rate_pct": s.rounded(s.ratio(F.col("closed") * 100, F.col("total_alerts")), 1)})
 
 
 # --- executive -----------------------------------------------------------------------------
@@ -255,7 +255,7 @@ def k15_drift_watchlist(alerts: DataFrame, as_of: str, interval: str) -> DataFra
 # --- revenue ---------------------------------------------------------------------------------
 
 def k16_revenue_variance(events: DataFrame, as_of: str, interval: str) -> DataFrame:
-    return lookback(events, TS, as_of, interval).groupBy("contract_type").agg(money_of("variance_dollars").alias("total_variance"), F.round(F.avg("variance_pct"), 6).alias("avg_pct"))
+    return lookback(events, TS, as_of, interval).groupBy("contract_type").agg(money_of("variance_dollars").alias("total_variance"), s.rounded(F.avg("variance_pct"), 6).alias("avg_pct"))
 
 
 def k16_underpayments(events: DataFrame, as_of: str, interval: str, n: int = 50) -> DataFrame:

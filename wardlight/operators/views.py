@@ -70,14 +70,14 @@ def provider_scorecard(fraud: DataFrame, denials: DataFrame, readmits: DataFrame
         return lookback(df, ts, as_of, interval, inclusive=True).filter(F.col("provider_id") != "")
 
     f, d, r = recent(fraud, "score_timestamp"), recent(denials, TS), recent(readmits, TS)
-    fraud_agg = f.groupBy("provider_id").agg(F.round(quantile("fraud_score", 0.95), 1).alias("fraud_score_p95"), F.count_if(F.col("fraud_score") >= 50).alias("fraud_alerts"))
+    fraud_agg = f.groupBy("provider_id").agg(s.rounded(quantile("fraud_score", 0.95), 1).alias("fraud_score_p95"), F.count_if(F.col("fraud_score") >= 50).alias("fraud_alerts"))
     denial_agg = d.groupBy("provider_id").agg(F.count(F.lit(1)).alias("total_claims"), F.count_if(F.col("adjudication_result") == "DENIED").alias("denied_claims"))
-    denial_agg = denial_agg.withColumn("denial_rate_pct", F.round(s.ratio(F.col("denied_claims") * 100, F.col("total_claims")), 1))
+    denial_agg = denial_agg.withColumn("denial_rate_pct", s.rounded(s.ratio(F.col("denied_claims") * 100, F.col("total_claims")), 1))
     readmit_agg = r.groupBy("provider_id").agg(F.count(F.lit(1)).alias("readmit_count"))
     joined = fraud_agg.join(denial_agg, "provider_id", "full_outer").join(readmit_agg, "provider_id", "full_outer")
     filled = joined.fillna({"fraud_score_p95": 0.0, "fraud_alerts": 0, "total_claims": 0, "denied_claims": 0, "denial_rate_pct": 0.0, "readmit_count": 0})
     total = F.col("fraud_score_p95") * 0.4 + F.col("denial_rate_pct") * 2.0 + F.col("readmit_count") * 5.0
-    return filled.withColumn("composite_risk", F.round(total, 1))
+    return filled.withColumn("composite_risk", s.rounded(total, 1))
 
 
 def alert_mttr(alerts: DataFrame, closures: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def mttr_summary(alerts: DataFrame, closures: DataFrame, as_of: str, interval: s
     return rows.groupBy("persona", "alert_type").agg(
         F.count_if(F.col("_status") == "OPEN").alias("open_count"), F.count_if(F.col("_status") == "ACKNOWLEDGED").alias("ack_count"),
         F.count_if(F.col("_status") == "RESOLVED").alias("resolved_count"), quantile("_ack", 0.5).alias("p50_ack_minutes"), quantile("_ack", 0.9).alias("p90_ack_minutes"),
-        quantile("_close", 0.5).alias("p50_close_minutes"), quantile("_close", 0.9).alias("p90_close_minutes"), F.round(F.avg("_close"), 6).alias("avg_close_minutes"))
+        quantile("_close", 0.5).alias("p50_close_minutes"), quantile("_close", 0.9).alias("p90_close_minutes"), s.rounded(F.avg("_close"), 6).alias("avg_close_minutes"))
 
 
 def tagged_events(tables: Tables, as_of: str, interval: str = "7 days") -> DataFrame:

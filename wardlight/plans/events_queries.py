@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlight.functions import scalars as s
 from wardlight.operators import alerts, caregaps, events, fraud, highcost, views
 from wardlight.operators.latest import latest_by
 from wardlight.plans.registry import query, tables
@@ -186,7 +187,7 @@ def _(w):
 
 @query("j01_provider_baseline")
 def _(w):
-    return fraud.provider_baseline(w["fact_claim"], w["dim_provider"]).withColumn("hist_std_amount", F.round("hist_std_amount", 4))
+    return fraud.provider_baseline(w["fact_claim"], w["dim_provider"]).withColumn("hist_std_amount", s.rounded("hist_std_amount", 4))
 
 
 @query("j02_velocity")
@@ -204,7 +205,7 @@ def _(w):
 @query("j03_amount")
 def _(w):
     scored = fraud.amount_score(w["claims_events"].join(fraud.provider_baseline(w["fact_claim"], w["dim_provider"]), "provider_id", "left"))
-    return scored.select("event_id", "amount_zscore", F.round("amount_score", 5).alias("amount_score"))
+    return scored.select("event_id", "amount_zscore", s.rounded("amount_score", 5).alias("amount_score"))
 
 
 def _placed(w: Warehouse) -> DataFrame:
@@ -214,13 +215,13 @@ def _placed(w: Warehouse) -> DataFrame:
 
 @query("j04_geo")
 def _(w):
-    return fraud.geo_score(_placed(w)).select("event_id", "geo_distance_deg", F.round("geo_score", 5).alias("geo_score"))
+    return fraud.geo_score(_placed(w)).select("event_id", "geo_distance_deg", s.rounded("geo_score", 5).alias("geo_score"))
 
 
 @query("j04_geo_haversine")
 def _(w):
     km = fraud.haversine_km(F.col("latitude"), F.col("longitude"), F.col("fac_lat"), F.col("fac_lon"))
-    return _placed(w).select("event_id", F.round(km, 3).alias("km"))
+    return _placed(w).select("event_id", s.rounded(km, 3).alias("km"))
 
 
 @query("j05_upcoding")
@@ -231,7 +232,7 @@ def _(w):
 @query("j06_fraud_scores")
 def _(w):
     scored = fraud.fraud_scores(w["claims_events"], w["dim_provider"], w["dim_facility"], fraud.provider_baseline(w["fact_claim"], w["dim_provider"]))
-    return scored.withColumns({c: F.round(c, 5) for c in ("amount_score", "geo_score")})
+    return scored.withColumns({c: s.rounded(c, 5) for c in ("amount_score", "geo_score")})
 
 
 @query("j07_fraud_summary")

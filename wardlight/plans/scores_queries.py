@@ -46,7 +46,7 @@ def _(w):
 @query("e07_payment_metrics")
 def _(w):
     paid = scores.payment_metrics(w["claims_clean"].drop("days_to_payment", "net_collection_rate"))
-    return paid.select("claim_id", "days_to_payment", F.round("net_collection_rate", 6).alias("net_collection_rate"))
+    return paid.select("claim_id", "days_to_payment", s.rounded("net_collection_rate", 6).alias("net_collection_rate"))
 
 
 @query("e08_vulnerability")
@@ -130,7 +130,7 @@ def _(w):
 @query("e19_star_cutpoints")
 def _(w):
     rated = scores.star_from_cutpoints(w["agg_star_rating"], ["star_measure_id", "measurement_year"], "star_score")
-    return rated.select("star_id", "star_score", F.round("percentile", 6).alias("percentile"), "stars")
+    return rated.select("star_id", "star_score", s.rounded("percentile", 6).alias("percentile"), "stars")
 
 
 @query("e19_star_rollup")
