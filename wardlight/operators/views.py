@@ -181,7 +181,7 @@ def route_actions(alerts: DataFrame, top: DataFrame) -> DataFrame:
     """Where each critical alert of the listed patients goes."""
     spark = alerts.sparkSession
     routes = spark.createDataFrame(ref.ACTION_ROUTES, "alert_type string, action_type string, destination string")
-    urgent = alerts.filter(F.col("risk_tier") == "CRITICAL").join(small(top.filter(F.col("max_priority") == 1).select("patient_id")), "patient_id", "left_semi")
+    urgent = alerts.filter(F.col("risk_tier") == "CRITICAL").join(top.filter(F.col("max_priority") == 1).select("patient_id"), "patient_id", "left_semi")
     action, place = ref.DEFAULT_ROUTE
     return urgent.join(small(routes), "alert_type", "left").select(
         s.content_id("ACTION", F.col("alert_id")).alias("action_id"), "alert_type", "alert_id", "patient_id", F.coalesce("action_type", F.lit(action)).alias("action_type"),

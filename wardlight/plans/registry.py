@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardlight.plans.warehouse import Warehouse, open_warehouse
+from wardlight.session import settle
 
 Query = Callable[[Warehouse], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,4 @@ def tables(names: dict[str, str]) -> None:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return QUERIES[name](open_warehouse(spark, sf_dir))
+    return QUERIES[name](open_warehouse(settle(spark), sf_dir))

@@ -8,20 +8,32 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings the results and the skew handling rely on; all can be set on a running session.
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Bursts of a key are merged in each map task before they are shuffled.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+
+def settle(spark: SparkSession) -> SparkSession:
+    """Bring a session that was made elsewhere to the settings above."""
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "wardlight", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC timestamps, ANSI casts and adaptive execution."""
+    """A session with the settings above."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.ansi.enabled": "true",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.ui.enabled": "false",
-        **conf,
-    }
+    settings = {**RUNTIME, "spark.ui.enabled": "false", **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -249,8 +249,20 @@ def inputs_of(text: str) -> list[str]:
     return sorted({field for _, field, _, _ in string.Formatter().parse(text) if field})
 
 
+# Key by which a table that comes in too few files is spread over the cores.
+_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "customer": "c_custkey"}
+
+
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One source table. A table of fewer files than cores is read by as few tasks, so its
+
+    rows are spread first; a table of many files is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in _SPREAD and len(df.inputFiles()) < cores:
+        return df.repartition(cores, _SPREAD[name])
+    return df
 
 
 def batch_table(spark: SparkSession, name: str, lookup) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from wardlight.functions import scalars as s
 from wardlight.operators import fraud
 from wardlight.sources import landing
 
+WRITERS = 4  # tables of a micro-batch written at the same time
 RAW_SCHEMA = T.StructType([T.StructField("body", T.StringType()), T.StructField("ingest_ts", T.TimestampType())])
 
 
@@ -46,10 +48,10 @@ def run_router(stream: DataFrame, out: str, checkpoint: str, tables: Iterable[st
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         parsed = landing.parse_events(batch).persist()
+        parts = {name: landing.route(parsed, name) for name in names} | {"dead_letters": landing.split_dead_letter(parsed)[1]}
         try:
-            for name in names:
-                landing.route(parsed, name).write.mode("overwrite").parquet(_batch_path(out, name, batch_id))
-            landing.split_dead_letter(parsed)[1].write.mode("overwrite").parquet(_batch_path(out, "dead_letters", batch_id))
+            with ThreadPoolExecutor(WRITERS) as pool:  # the writes share one cached batch and do not wait for each other
+                list(pool.map(lambda name: parts[name].write.mode("overwrite").parquet(_batch_path(out, name, batch_id)), parts))
         finally:
             parsed.unpersist()
 
