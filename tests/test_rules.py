@@ -27,7 +27,7 @@ def test_fiscal_calendar(spark, day, fiscal_year, fiscal_quarter):
 
 def test_denial_risk_by_amount(spark, rows):
     amounts = [0, None, 10000, 10000.01, 20000, 20000.01, 50000, 50000.01]
-    df = spark.createDataFrame([(str(i), a) for i, a in enumerate(amounts)], "id string, x double").select(
+    df = spark.createDataFrame([(str(i), None if a is None else float(a)) for i, a in enumerate(amounts)], "id string, x double").select(
         "id", F.col("x").cast("decimal(18,2)").alias("billed_amount"), F.lit("Paid").alias("claim_status"))
     scored = scores.denial_risk(scores.assign_denial(df, "id", "billed_amount", hashed=False))
     assert [r[1] for r in rows(scored, "id", "denial_risk_score")] == [0.15, 0.15, 0.15, 0.30, 0.30, 0.40, 0.40, 0.55]

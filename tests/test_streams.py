@@ -66,7 +66,8 @@ def test_repeated_events_pass_once(spark, folder, rows):
 def test_windows_close_after_the_watermark(spark, folder, rows):
     times = ["10:00:00", "10:04:59", "10:05:00", "10:30:00"]
     _land(spark, f"{folder}/in", [_claim(i, f"2024-01-01T{t}") for i, t in enumerate(times)], 0)
-    _land(spark, f"{folder}/in", [_claim(9, "2024-01-01T10:01:00"), _claim(10, "2024-01-01T10:31:00")], 1)  # the first one is too late
+    _land(spark, f"{folder}/in", [_claim(8, "2024-01-01T10:30:30")], 1)  # a batch later the watermark counts
+    _land(spark, f"{folder}/in", [_claim(9, "2024-01-01T10:01:00"), _claim(10, "2024-01-01T10:31:00")], 2)  # the first one is too late
     counted = jobs.window_counts(jobs.landing_stream(spark, f"{folder}/in", 1), "10 minutes", "5 minutes", ["_table"])
     jobs.finish(jobs.to_table(counted, f"{folder}/out", f"{folder}/cp"))
     assert [(r[0].minute, r[1]) for r in rows(spark.read.parquet(f"{folder}/out"), "bin", "event_count")] == [(0, 2), (5, 1)]
