@@ -177,8 +177,8 @@ def _whole_years(as_of: str | Column, born: str) -> Column:
 def care_gap_eligible(patients: DataFrame, dx: DataFrame, measures: DataFrame, as_of: str | Column) -> DataFrame:
     """Measures each patient counts for: by age, sex, and one of the target conditions.
 
-    Measures with target conditions go through the diagnoses by code; only the few
-    without any meet every patient, and then only those of the right age.
+    Measures with target conditions go through the diagnoses by code. The few without
+    any are held in one array, of which each patient keeps those of the right age.
     """
     people = patients.select("patient_id", "gender", _whole_years(as_of, "date_of_birth").alias("_age"))
     rules = measures.select("measure_id", "measure_name", "target_icd", "age_min", "age_max")
@@ -186,7 +186,9 @@ def care_gap_eligible(patients: DataFrame, dx: DataFrame, measures: DataFrame, a
     conditions = dx.join(small(by_code.select("icd_code", "measure_id", "measure_name", "age_min", "age_max")), "icd_code")
     conditions = conditions.select("patient_id", "measure_id", "measure_name", "age_min", "age_max").distinct()
     targeted = people.join(conditions, "patient_id").filter(F.col("_age").between(F.col("age_min"), F.col("age_max")))
-    general = people.join(small(rules.filter(F.col("target_icd") == "")), F.col("_age").between(F.col("age_min"), F.col("age_max")))
+    whole = rules.filter(F.col("target_icd") == "").agg(F.collect_list(F.struct("measure_id", "measure_name", "age_min", "age_max"))).scalar()
+    each = people.withColumn("_all", whole).withColumn("_m", F.explode("_all"))
+    general = each.filter(F.col("_age").between(F.col("_m.age_min"), F.col("_m.age_max"))).select("patient_id", "gender", "_m.measure_id", "_m.measure_name")
     columns = ["patient_id", "gender", "measure_id", "measure_name"]
     both = targeted.select(*columns).unionByName(general.select(*columns))
     return both.filter((F.col("measure_id") != "BCS") | (F.col("gender") == "Female")).drop("gender")

@@ -322,9 +322,11 @@ for _name, _build in _ALERTS.items():
 @query("j28_thresholds")
 def _(w):
     limits = alerts.thresholds(w["dashboard_thresholds"], {**alerts.COO_DEFAULTS, **alerts.CTO_DEFAULTS, "unknown_key": (1.5, 2.5)})
-    over = w["ops_capacity_events"].filter(F.col("capacity_type") == "ED_BOARDING").withColumn("threshold_key", F.lit("ed_boarding_count"))
-    counts = over.join(limits, "threshold_key").groupBy("threshold_key").agg(F.count_if(F.col("current_value") >= F.col("warn")).alias("over_warn"), F.count_if(F.col("current_value") >= F.col("crit")).alias("over_crit"))
-    return limits.join(counts, "threshold_key", "left")
+    boarding = w["ops_capacity_events"].filter(F.col("capacity_type") == "ED_BOARDING")
+    warn, crit = (limits.filter(F.col("threshold_key") == "ed_boarding_count").select(c).scalar() for c in ("warn", "crit"))
+    counts = boarding.agg(F.count_if(F.col("current_value") >= warn).alias("over_warn"), F.count_if(F.col("current_value") >= crit).alias("over_crit"))
+    here = F.col("threshold_key") == "ed_boarding_count"
+    return limits.withColumns({c: F.when(here, counts.select(c).scalar()) for c in ("over_warn", "over_crit")})
 
 
 # --- views over alerts --------------------------------------------------------------------------------------
