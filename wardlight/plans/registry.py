@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlight.plans.warehouse import Warehouse, open_warehouse
 from wardlight.session import settle
@@ -35,4 +37,7 @@ def tables(names: dict[str, str]) -> None:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](open_warehouse(settle(spark), sf_dir))
+    """One query over one source folder; exact money is given out as doubles."""
+    df = QUERIES[name](open_warehouse(settle(spark), sf_dir))
+    money = {f.name: F.col(f.name).cast("double") for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    return df.withColumns(money) if money else df
