@@ -31,6 +31,7 @@ BUILD = {
     "build_aggregates": ["agg_readmission_by_date", "agg_denial_by_date", "agg_denial_by_payer", "agg_revenue_by_drg", "agg_days_in_ar", "agg_appeal_outcomes",
                          "agg_mlr_by_payer_month", "agg_medication_adherence"],
     "build_events": ["landing_raw", "landing_parsed", "claims_events", "adt_events", "rx_events", "readmission_events", "denial_adjudication_events"],
+    "build_alerts": ["fraud_scores", "care_gap_alerts", "highcost_alerts", "provider_alerts", "payer_alerts", "coo_alerts", "cto_alerts", "all_alerts", "alert_closure_events"],
 }
 
 HEADLINE = [
