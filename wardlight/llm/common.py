@@ -49,9 +49,9 @@ def keep_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return keyed.join(wanted, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, texts: pa.Array | None = None, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows with at most so many bytes of text, one row at least."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column("text") if texts is None else texts).fill_null(0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
     at = 0
     while at < len(sizes):

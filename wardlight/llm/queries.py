@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import exact_dedup, simhash
-from wardlight.llm.common import table
+from wardlight.llm import exact_dedup, simhash, toxicity
+from wardlight.llm.common import held_out, table
 from wardlight.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,11 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"), F.size("passages").alias("n_passages"))
