@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import exact_dedup, simhash, toxicity
-from wardlight.llm.common import held_out, table
+from wardlight.llm import decontaminate, exact_dedup, sentencepiece_codec, simhash, toxicity
+from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to that text."""
+    vocabulary = sentencepiece_codec.load()
+    docs = table(spark, sf_dir, "documents")
+    coded = sentencepiece_codec.encode(docs, vocabulary, ["doc_id", F.sha2(text_of(), 256).alias("text_sha256")])
+    back = sentencepiece_codec.decode(coded, vocabulary, ["doc_id", "text_sha256", "ids"])
+    return back.select("doc_id", F.size("ids").alias("n_tokens"), "ids", (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip"))
