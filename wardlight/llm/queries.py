@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, exact_dedup, sentencepiece_codec, simhash, toxicity
+from wardlight.llm import decontaminate, exact_dedup, secrets, sentencepiece_codec, simhash, toxicity
 from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
@@ -64,3 +64,18 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentencepiece_codec.encode(docs, vocabulary, ["doc_id", F.sha2(text_of(), 256).alias("text_sha256")])
     back = sentencepiece_codec.decode(coded, vocabulary, ["doc_id", "text_sha256", "ids"])
     return back.select("doc_id", F.size("ids").alias("n_tokens"), "ids", (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip"))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(docs, secrets.dictionary(docs))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), of("novel"))
