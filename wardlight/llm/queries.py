@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, exact_dedup, secrets, sentencepiece_codec, simhash, toxicity
+from wardlight.llm import decontaminate, exact_dedup, langid, secrets, sentencepiece_codec, simhash, toxicity
 from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
@@ -79,3 +79,9 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter("spans", lambda s: s["kind"] != "novel")
     return found.select("doc_id", of("assign"), of("access"), of("hex"), F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), of("novel"))
+
+
+@query
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
