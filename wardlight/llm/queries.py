@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, exact_dedup, langid, secrets, sentencepiece_codec, simhash, toxicity
+from wardlight.llm import decontaminate, exact_dedup, langid, licenses, secrets, sentencepiece_codec, simhash, toxicity
 from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
@@ -85,3 +85,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
