@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, exact_dedup, langid, licenses, repeated_phrases, secrets, sentencepiece_codec, simhash, toxicity
+from wardlight.llm import decontaminate, exact_dedup, langid, licenses, quotes, repeated_phrases, secrets, sentencepiece_codec, simhash, toxicity
 from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
@@ -96,3 +96,8 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     stripped = repeated_phrases.strip_repeats(table(spark, sf_dir, "documents"))
     return stripped.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
