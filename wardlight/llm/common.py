@@ -37,16 +37,20 @@ def text_key(column: str = "text") -> Column:
     return F.xxhash64(text_of(column))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one struct `row`: helper columns beside it can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def keep_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of docs named in chosen(doc_id, text_key), each once, with all columns of docs.
 
     Texts move once, by id and text; repeated rows meet there and leave as one row.
     """
     low = F.lit(-(2**63))
-    names = ["__id", "__key"]
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("bigint"), low)).withColumn("__key", text_key())
-    wanted = chosen.select(F.coalesce("doc_id", low).alias("__id"), F.col("text_key").alias("__key"))
-    return keyed.join(wanted, names, "left_semi").dropDuplicates(names).select(*docs.columns)
+    keyed = docs.select(whole_row(docs), F.coalesce(F.col("doc_id").cast("bigint"), low).alias("id"), text_key().alias("key"))
+    wanted = chosen.select(F.coalesce("doc_id", low).alias("id"), F.col("text_key").alias("key"))
+    return keyed.join(wanted, ["id", "key"], "left_semi").dropDuplicates(["id", "key"]).select("row.*")
 
 
 def pieces(batch: pa.RecordBatch, texts: pa.Array | None = None, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.llm import words
-from wardlight.llm.common import byte_view, char_starts, id_and_text, pieces, text_of
+from wardlight.llm.common import byte_view, char_starts, id_and_text, pieces, text_of, whole_row
 
 SIMILARITY, RECALL, SAMPLED = 0.8, 0.99, 3
 BLOCK_BYTES, MOST_REPETITIONS = 8 << 20, 128
@@ -278,7 +278,7 @@ def _keep(index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """The rows of docs without a benchmark passage."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = docs.select(whole_row(docs))
     schema = rows.schema
     for index in blocks(benchmark, similarity, recall):
         rows = rows.mapInArrow(_keep(docs.sparkSession.sparkContext.broadcast(index)), schema)

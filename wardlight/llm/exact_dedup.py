@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import text_key, text_of
+from wardlight.llm.common import text_key, text_of, whole_row
 from wardlight.session import cut_lineage
 
 SHARE = 0.001
@@ -92,8 +92,7 @@ def exact_groups(docs: DataFrame, normalise: Callable[[Column], Column] = lambda
 def drop_exact(docs: DataFrame, normalise: Callable[[Column], Column] = lambda c: c, share: float = SHARE) -> DataFrame:
     """The rows of docs that stay. Copies of frequent texts go before the one shuffle of texts."""
     rows = cut_lineage(digests(docs, normalise))
-    keyed = docs.withColumn("__digest", F.unhex(F.sha2(normalise(text_of()), 256)))
-    heavy = F.broadcast(heavy_winners(rows, share).select(F.col("digest").alias("__digest"), F.col("winner").alias("__winner"), F.col("size").alias("__size")))
-    rest = keyed.join(heavy, "__digest", "left").filter(F.col("__size").isNull() | F.col("doc_id").cast("bigint").eqNullSafe(F.col("__winner")))
-    first = Window.partitionBy("__digest").orderBy(F.col("doc_id").desc_nulls_last())
-    return rest.withColumn("__row", F.row_number().over(first)).filter("__row = 1").select(*docs.columns)
+    keyed = docs.select(whole_row(docs), F.col("doc_id").cast("bigint").alias("id"), F.unhex(F.sha2(normalise(text_of()), 256)).alias("digest"))
+    rest = keyed.join(F.broadcast(heavy_winners(rows, share)), "digest", "left").filter(F.col("size").isNull() | F.col("id").eqNullSafe(F.col("winner")))
+    first = Window.partitionBy("digest").orderBy(F.col("id").desc_nulls_last())
+    return rest.withColumn("place", F.row_number().over(first)).filter("place = 1").select("row.*")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.llm import words
-from wardlight.llm.common import byte_view, char_starts, held_out, id_and_text, pieces, text_key
+from wardlight.llm.common import byte_view, char_starts, held_out, id_and_text, pieces, text_key, whole_row
 
 #: Bound on the labelled documents that a model is fitted on.
 MOST = 200_000
@@ -275,7 +275,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs whose score is below the threshold, decided and filtered in one pass."""
     model = fit(docs, labels)
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = docs.select(whole_row(docs))
     return rows.mapInArrow(_keep(model, threshold), rows.schema).select("row.*")
 
 
