@@ -131,10 +131,10 @@ q("q077_specialty_prescribing", "SELECT medication_name, payer_name, COUNT(*) AS
 q("q078_high_risk_by_provider", """SELECT provider_id, display_name, COUNT(DISTINCT patient_key) AS high_risk_patients, NULLIF(COUNT(DISTINCT diagnosis_key), 0) AS conditions FROM enc_star LEFT JOIN chronic_enc USING (encounter_key)
     WHERE readmission_risk_category = 'High' AND provider_id IS NOT NULL GROUP BY 1, 2""")
 q("q079_providers_in_vulnerable_areas", f"SELECT provider_id, specialty, COUNT(DISTINCT patient_key) AS patients, {M('social_vulnerability_index')} AS avg_svi FROM enc_star WHERE sdoh_tier = 'High' AND provider_id IS NOT NULL GROUP BY 1, 2")
-q("q080_claims_of_payer", "SELECT claim_id, provider_id, patient_id, claim_status, primary_denial_reason FROM claim_star WHERE payer_name = 'Aetna'")
+q("q080_claims_of_payer", "SELECT claim_id, provider_id, patient_id, claim_status, primary_denial_reason FROM claim_star WHERE payer_name = 'Medicaid Plan 3'")
 q("q081_denials_by_payer", f"SELECT payer_name, primary_denial_reason, COUNT(*) AS denied, COUNT(DISTINCT provider_key) AS providers, COUNT(DISTINCT patient_key) AS patients, COUNT(DISTINCT encounter_key) AS encounters FROM claim_star WHERE {D} GROUP BY 1, 2")
 q("q082_rx_by_payer", "SELECT payer_name, medication_name, COUNT(*) AS prescriptions, COUNT(DISTINCT provider_key) AS providers, COUNT(DISTINCT patient_key) AS patients FROM rx_star GROUP BY 1, 2")
-q("q083_network_of_payer", "SELECT provider_id, encounter_type, COUNT(*) AS claims FROM claim_star LEFT JOIN (SELECT encounter_key, encounter_type FROM fact_encounter) e USING (encounter_key) WHERE payer_name = 'Aetna' GROUP BY 1, 2")
+q("q083_network_of_payer", "SELECT provider_id, encounter_type, COUNT(*) AS claims FROM claim_star LEFT JOIN (SELECT encounter_key, encounter_type FROM fact_encounter) e USING (encounter_key) WHERE payer_name = 'Medicaid Plan 3' GROUP BY 1, 2")
 q("q084_payers_in_vulnerable_areas", f"SELECT payer_name, COUNT(DISTINCT patient_key) AS patients, COUNT(*) AS claims, {M('poverty_rate')} AS avg_poverty FROM claim_star WHERE sdoh_tier = 'High' GROUP BY 1")
 STORY = """SELECT claim_id, patient_id, encounter_id, encounter_type, provider_id, payer_name, claim_status, primary_denial_reason, CAST(billed_amount AS DOUBLE) AS billed_amount
     FROM claim_star LEFT JOIN (SELECT encounter_key, encounter_id, encounter_type FROM fact_encounter) e USING (encounter_key)"""

@@ -110,7 +110,8 @@ cte("dim_date", f"""SELECT {dkey('full_date')} AS date_key, full_date, dayofweek
     year(full_date) AS year, CASE WHEN dayofweek(full_date) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend, 0 AS is_holiday,
     CASE WHEN month(full_date) >= 7 THEN year(full_date) + 1 ELSE year(full_date) END AS fiscal_year,
     CASE WHEN month(full_date) IN (7,8,9) THEN 1 WHEN month(full_date) IN (10,11,12) THEN 2 WHEN month(full_date) IN (1,2,3) THEN 3 ELSE 4 END AS fiscal_quarter
-    FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2010-12-31', INTERVAL 1 DAY)) AS DATE) AS full_date) t""")
+    FROM (SELECT CAST(unnest(generate_series(make_timestamp(a - 2, 1, 1, 0, 0, 0), make_timestamp(b + 2, 12, 31, 0, 0, 0), INTERVAL 1 DAY)) AS DATE) AS full_date
+    FROM (SELECT year(MIN(o_orderdate)) AS a, year(MAX(o_orderdate)) AS b FROM orders) y) t""")
 cte("dim_patient", numbered("patient_key", "patient_id", """SELECT patient_id, first_name, last_name, date_of_birth, gender, address, city, state, zip_code, phone, email, insurance_type, insurance_provider,
     CAST(NULL AS VARCHAR) AS insurance_policy_number, age, age_group, 1 AS is_current, TIMESTAMP '1995-01-01' AS effective_start_date, CAST(NULL AS TIMESTAMP) AS effective_end_date FROM patients_enriched"""))
 cte("dim_provider", numbered("provider_key", "provider_id", """SELECT provider_id, first_name, last_name, 'Dr. ' || first_name || ' ' || last_name AS display_name, npi AS npi_number, specialty,
@@ -307,11 +308,12 @@ cte("care_gap_alerts", """SELECT md5('CARE_GAP|' || event_id || '|' || measure_i
     FROM adt_events a JOIN care_gaps g USING (patient_id) LEFT JOIN dim_patient p USING (patient_id) LEFT JOIN dim_facility f ON a.facility_id = f.facility_id LEFT JOIN hedis_measures h ON g.measure_id = h.measure_id
     WHERE a.event_type IN ('ADMIT', 'OBSERVATION') AND CAST(g.is_gap_open AS BOOLEAN)) t""")
 
-cte("rolling_spend", f"""SELECT *, CAST(SUM(CAST(COALESCE(claim_amount, 0) AS DECIMAL(18,2))) OVER (PARTITION BY patient_id ORDER BY event_epoch RANGE BETWEEN {30 * 86400} PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_spend_30d,
+cte("rolling_spend", f"""SELECT * REPLACE (CASE WHEN event_epoch IS NULL THEN 0 ELSE rolling_spend_30d END AS rolling_spend_30d, CASE WHEN event_epoch IS NULL THEN 0 ELSE rolling_spend_90d END AS rolling_spend_90d,
+    CASE WHEN event_epoch IS NULL THEN 0 ELSE claims_count_30d END AS claims_count_30d) FROM (SELECT *, CAST(SUM(CAST(COALESCE(claim_amount, 0) AS DECIMAL(18,2))) OVER (PARTITION BY patient_id ORDER BY event_epoch RANGE BETWEEN {30 * 86400} PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_spend_30d,
     CAST(SUM(CAST(COALESCE(claim_amount, 0) AS DECIMAL(18,2))) OVER (PARTITION BY patient_id ORDER BY event_epoch RANGE BETWEEN {90 * 86400} PRECEDING AND CURRENT ROW) AS DOUBLE) AS rolling_spend_90d,
     COUNT(claim_id) OVER (PARTITION BY patient_id ORDER BY event_epoch RANGE BETWEEN {30 * 86400} PRECEDING AND CURRENT ROW) AS claims_count_30d
-    FROM (SELECT *, {EPOCH} AS event_epoch FROM claims_events WHERE event_timestamp IS NOT NULL) t""")
-cte("latest_spend", "SELECT * FROM rolling_spend QUALIFY ROW_NUMBER() OVER (PARTITION BY patient_id ORDER BY event_epoch DESC, event_id DESC) = 1")
+    FROM (SELECT *, {EPOCH} AS event_epoch FROM claims_events) t) u""")
+cte("latest_spend", "SELECT * FROM rolling_spend WHERE event_epoch IS NOT NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY patient_id ORDER BY event_epoch DESC, event_id DESC) = 1")
 cte("ed_visits", f"""SELECT patient_id, event_timestamp AS ed_event_ts, ed_visits_30d, facility_id AS ed_facility_id FROM (SELECT *, COUNT(*) OVER (PARTITION BY patient_id ORDER BY event_epoch RANGE BETWEEN {30 * 86400} PRECEDING AND CURRENT ROW) AS ed_visits_30d
     FROM (SELECT *, {EPOCH} AS event_epoch FROM adt_events WHERE admission_type = 'EMERGENCY' AND event_timestamp IS NOT NULL) t) u QUALIFY ROW_NUMBER() OVER (PARTITION BY patient_id ORDER BY event_epoch DESC, event_id DESC) = 1""")
 cte("readmission_counts", """SELECT patient_id, COUNT(*) FILTER (WHERE date_diff('day', CAST(prev AS DATE), CAST(event_timestamp AS DATE)) <= 30) AS readmission_count_30d FROM (
@@ -340,13 +342,13 @@ def newest(table: str, keys: str, where: str = "true") -> str:
 
 
 cte("readmission_alerts", f"""SELECT {aid('READMISSION_30DAY')}, provider_id, COALESCE(display_name, 'Unknown') AS provider_name, patient_id, r.facility_id, CASE WHEN days_since_discharge <= 7 THEN 'CRITICAL' WHEN days_since_discharge <= 14 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-    'READMISSION ALERT: Patient ' || COALESCE(patient_id, '') || ' re-admitted ' || days_since_discharge || ' days after discharge (DRG ' || drg_code || ', risk score ' || readmission_risk_score || '). Prior dx: ' || prior_diagnosis || ', current dx: ' || current_diagnosis || '.' AS alert_text,
-    CASE WHEN days_since_discharge <= 7 THEN 'Immediate care manager review + discharge bundle audit. Notify CMO.' WHEN days_since_discharge <= 14 THEN 'Care manager outreach within 24h. Schedule follow-up visit + medication reconciliation.'
-    ELSE 'Add to weekly readmission review queue. Verify post-discharge plan.' END AS recommended_action, 'days_since_discharge' AS metric_name, CAST(days_since_discharge AS DOUBLE) AS metric_value, 30.0::DOUBLE AS benchmark_value,
+    'Readmission: patient ' || COALESCE(patient_id, '') || ' was admitted again ' || days_since_discharge || ' days after leaving (group ' || drg_code || ', risk ' || readmission_risk_score || '); first ' || prior_diagnosis || ', now ' || current_diagnosis || '.' AS alert_text,
+    CASE WHEN days_since_discharge <= 7 THEN 'Have a care manager look at the case today and tell the chief medical officer.' WHEN days_since_discharge <= 14 THEN 'Call the patient by tomorrow, book a visit and go through the medicines.'
+    ELSE 'Discuss at the weekly review and see whether the discharge plan was kept.' END AS recommended_action, 'days_since_discharge' AS metric_name, CAST(days_since_discharge AS DOUBLE) AS metric_value, 30.0::DOUBLE AS benchmark_value,
     COALESCE(latitude, 40.84) AS latitude, COALESCE(longitude, -73.94) AS longitude FROM readmission_events r LEFT JOIN (SELECT provider_id, display_name FROM dim_provider) p USING (provider_id)""")
 cte("quality_drift_alerts", f"""SELECT {aid('QUALITY_DRIFT')}, provider_id, provider_name, '' AS patient_id, facility_id, severity,
-    'QUALITY DRIFT: Provider ' || provider_name || ' (' || specialty || ') metric ''' || metric_name || ''' = ' || {R('metric_value', 4)} || ' vs benchmark ' || {R('benchmark_value', 4)} || ' (' || direction || ', n=' || denominator || ').' AS alert_text,
-    CASE WHEN severity = 'CRITICAL' THEN 'Schedule peer review with Medical Director. Audit recent cases. Consider PIP enrollment.' ELSE 'Share scorecard with provider. Add to monthly quality huddle agenda.' END AS recommended_action,
+    'Quality: ' || provider_name || ' (' || specialty || '), ' || metric_name || ' = ' || {R('metric_value', 4)} || ' against ' || {R('benchmark_value', 4)} || ' (' || direction || ', n=' || denominator || ').' AS alert_text,
+    CASE WHEN severity = 'CRITICAL' THEN 'Ask the medical director for a peer review of recent cases.' ELSE 'Show the clinician the figures and take them to the monthly meeting.' END AS recommended_action,
     metric_name, metric_value, benchmark_value, 40.84::DOUBLE AS latitude, -73.94::DOUBLE AS longitude FROM (SELECT *, CASE WHEN direction = 'lower_is_better' AND off > 1.30::DOUBLE THEN 'CRITICAL' WHEN direction = 'lower_is_better' AND off > 1.15::DOUBLE THEN 'HIGH'
     WHEN direction = 'higher_is_better' AND off < 0.70::DOUBLE THEN 'CRITICAL' WHEN direction = 'higher_is_better' AND off < 0.85::DOUBLE THEN 'HIGH' ELSE 'OK' END AS severity FROM (
     SELECT *, CASE WHEN benchmark_value <> 0 THEN metric_value / benchmark_value ELSE 1 END AS off FROM {newest('quality_metric_events', 'provider_id, metric_name')}) a) b WHERE severity <> 'OK'""")
@@ -356,8 +358,8 @@ cte("provider_alerts", "SELECT * FROM readmission_alerts UNION ALL BY NAME SELEC
 def spikes(interval: str, min_claims: int = 20) -> str:
     return f"""SELECT md5('DENIAL_SPIKE|' || payer_id || '|2024-01-30 14:00:00') AS alert_id, {NOW} AS alert_timestamp, 'DENIAL_SPIKE' AS alert_type, payer_id, payer_name, '' AS claim_id, '' AS patient_id,
     CASE WHEN rate >= 0.20 THEN 'CRITICAL' WHEN rate >= 0.15 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-    'DENIAL SPIKE: ' || payer_name || ' denied ' || denied || '/' || total || ' claims (=' || {R('rate * 100', 1)} || '%) in last hour. Top reason: ' || CASE WHEN COALESCE(top_reason, '') = '' THEN 'mixed' ELSE top_reason END || '. Denied dollars: $' || {usd('dollars')} || '.' AS alert_text,
-    CASE WHEN rate >= 0.20 THEN 'CFO escalation. Pause submissions to this payer + emergency contract review.' WHEN rate >= 0.15 THEN 'Convene denial management team. Root-cause top denial reason within 24h.' ELSE 'Add payer to weekly denial review. Monitor next-hour trend.' END AS recommended_action,
+    'Denials: ' || payer_name || ' denied ' || denied || '/' || total || ' claims (=' || {R('rate * 100', 1)} || '%) within 7 days. Top reason: ' || CASE WHEN COALESCE(top_reason, '') = '' THEN 'mixed' ELSE top_reason END || '; amount $' || {usd('dollars')} || '.' AS alert_text,
+    CASE WHEN rate >= 0.20 THEN 'Inform finance leadership, hold new claims and look into the contract.' WHEN rate >= 0.15 THEN 'Find out by tomorrow why the commonest reason occurs.' ELSE 'Keep an eye on this payer and discuss it this week.' END AS recommended_action,
     dollars AS dollar_impact, COALESCE(top_reason, '') AS denial_reason, 0 AS days_until_expiry FROM (SELECT *, CAST(denied AS DOUBLE) / total AS rate FROM (
     SELECT payer_id, payer_name, COUNT(*) AS total, COUNT(*) FILTER (WHERE adjudication_result = 'DENIED') AS denied, COALESCE(CAST(SUM(CAST(billed_amount AS DECIMAL(18,2))) FILTER (WHERE adjudication_result = 'DENIED') AS DOUBLE), 0) AS dollars
     FROM denial_adjudication_events WHERE {back('event_timestamp', interval)} GROUP BY 1, 2) a
@@ -367,22 +369,22 @@ def spikes(interval: str, min_claims: int = 20) -> str:
 
 def hi_dollar(interval: str) -> str:
     return f"""SELECT {aid('HIGH_DOLLAR_DENIAL')}, payer_id, payer_name, claim_id, patient_id, CASE WHEN billed_amount > 10000 THEN 'CRITICAL' WHEN billed_amount > 5000 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-    'HIGH-$ DENIAL' || CASE WHEN is_preventable THEN ' [PREVENTABLE]' ELSE '' END || ': Claim ' || claim_id || ' (' || payer_name || ') denied for $' || {usd('billed_amount')} || '. Reason: ' || denial_reason || '.' AS alert_text,
-    CASE WHEN recommended_action = '' THEN 'Review and appeal.' ELSE recommended_action END AS recommended_action, billed_amount AS dollar_impact, denial_reason, 0 AS days_until_expiry
+    'Large denial' || CASE WHEN is_preventable THEN ' [PREVENTABLE]' ELSE '' END || ': claim ' || claim_id || ' (' || payer_name || ') over $' || {usd('billed_amount')} || '. Reason: ' || denial_reason || '.' AS alert_text,
+    CASE WHEN recommended_action = '' THEN 'Check the claim and appeal if justified.' ELSE recommended_action END AS recommended_action, billed_amount AS dollar_impact, denial_reason, 0 AS days_until_expiry
     FROM denial_adjudication_events WHERE {back('event_timestamp', interval)} AND adjudication_result = 'DENIED' AND (billed_amount > 5000 OR is_preventable AND billed_amount > 2000)"""
 
 
 cte("spikes_week", spikes("7 days"))
 cte("high_dollar_week", hi_dollar("7 days"))
 cte("ar_breach_alerts", f"""SELECT {aid('AR_AGING_BREACH')}, payer_id, payer_name, '' AS claim_id, '' AS patient_id, CASE WHEN avg_days_in_ar > 60 THEN 'CRITICAL' WHEN avg_days_in_ar > 50 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-    'AR AGING: ' || payer_name || ' avg days-in-AR = ' || {R('avg_days_in_ar', 1)} || ' (target <45). Open claims: ' || open_claims_count || ', AR balance: $' || {usd('total_ar_balance')} || ', >90 days: ' || claims_over_90_days || ', trend: ' || trend_direction || '.' AS alert_text,
-    CASE WHEN trend_direction = 'INCREASING' THEN '[TREND ↑] ' ELSE '' END || CASE WHEN avg_days_in_ar > 60 THEN 'CFO escalation. Convene payer JOC. Hold balance with finance.' WHEN avg_days_in_ar > 50 THEN 'Payer relations escalation letter. Audit claim submission process.'
-    ELSE 'Add to monthly AR review. Track next-week trend.' END AS recommended_action, total_ar_balance AS dollar_impact, '' AS denial_reason, CAST(floor(avg_days_in_ar) AS INTEGER) AS days_until_expiry
+    'Receivables: ' || payer_name || ' pays after ' || {R('avg_days_in_ar', 1)} || ' days (aim: under 45); open claims ' || open_claims_count || ', balance $' || {usd('total_ar_balance')} || ', beyond 90 days ' || claims_over_90_days || ', trend ' || trend_direction || '.' AS alert_text,
+    CASE WHEN trend_direction = 'INCREASING' THEN '[TREND ↑] ' ELSE '' END || CASE WHEN avg_days_in_ar > 60 THEN 'Inform finance leadership and meet with the payer about open balances.' WHEN avg_days_in_ar > 50 THEN 'Write to the payer and check how claims are sent.'
+    ELSE 'Look at it again next week and in the monthly report.' END AS recommended_action, total_ar_balance AS dollar_impact, '' AS denial_reason, CAST(floor(avg_days_in_ar) AS INTEGER) AS days_until_expiry
     FROM {newest('ar_snapshot_events', 'payer_id')} WHERE avg_days_in_ar > 45""")
 cte("auth_alerts", f"""SELECT {aid('AUTH_EXPIRING')}, payer_id, payer_name, auth_id AS claim_id, patient_id, CASE WHEN days_until_expiry <= 2 THEN 'CRITICAL' WHEN days_until_expiry <= 5 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-    'AUTH EXPIRING: Auth ' || auth_id || ' (' || procedure_code || ') with ' || payer_name || ' expires in ' || days_until_expiry || ' days (scheduled ' || substr(scheduled_procedure_date, 1, 10) || '). At-risk charge: $' || {usd('estimated_charge')} || '.' AS alert_text,
-    CASE WHEN days_until_expiry <= 2 THEN 'Same-day auth renewal request to payer + reschedule warning to scheduling team.' WHEN days_until_expiry <= 5 THEN 'Auto-submit auth renewal via Power Automate. Confirm with provider office.'
-    ELSE 'Add to weekly auth-expiry queue. Verify procedure still scheduled.' END AS recommended_action, estimated_charge AS dollar_impact, '' AS denial_reason, days_until_expiry
+    'Authorization ' || auth_id || ' (' || procedure_code || ') with ' || payer_name || ' ends in ' || days_until_expiry || ' days; planned for ' || substr(scheduled_procedure_date, 1, 10) || ', charge $' || {usd('estimated_charge')} || '.' AS alert_text,
+    CASE WHEN days_until_expiry <= 2 THEN 'Ask for an extension today and warn those who plan the procedure.' WHEN days_until_expiry <= 5 THEN 'Request the extension and confirm it with the clinic.'
+    ELSE 'Check this week whether the procedure is still planned.' END AS recommended_action, estimated_charge AS dollar_impact, '' AS denial_reason, days_until_expiry
     FROM {newest('auth_lifecycle_events', 'auth_id')} WHERE auth_status = 'EXPIRING_SOON' OR auth_status = 'APPROVED' AND days_until_expiry BETWEEN 1 AND 7""")
 cte("payer_alerts", "SELECT * FROM spikes_week UNION ALL BY NAME SELECT * FROM high_dollar_week UNION ALL BY NAME SELECT * FROM ar_breach_alerts UNION ALL BY NAME SELECT * FROM auth_alerts")
 
@@ -394,16 +396,16 @@ def sev(value: str, warn: float, crit: float, floor: str = "OK") -> str:
 def capacity(interval: str) -> str:
     return f"""SELECT md5(alert_type || '|' || event_id) AS alert_id, event_timestamp AS alert_timestamp, alert_type, facility_id, ward, severity,
     alert_type || ': ' || facility_name || ' ' || ward || ' - ' || capacity_type || ' = ' || {R('current_value', 1)} || ' (threshold ' || {R('threshold_value', 1)} || ', utilization ' || {R('utilization_pct', 1)} || '%).' AS alert_text,
-    CASE capacity_type WHEN 'ED_BOARDING' THEN 'Activate surge protocol. Open escalation huddle. Page bed coordinator + ED charge.' WHEN 'BED_OCCUPANCY' THEN 'Run discharge readiness review. Hold elective admits. Notify house supervisor.'
-    ELSE 'Audit turnover bottleneck. Review case-cart readiness. Notify perioperative director.' END AS recommended_action, capacity_type AS metric_name, current_value AS metric_value, threshold_value,
+    CASE capacity_type WHEN 'ED_BOARDING' THEN 'Open more capacity and call those who assign beds.' WHEN 'BED_OCCUPANCY' THEN 'See who can go home and put off planned admissions.'
+    ELSE 'Find what slows the room down between two cases.' END AS recommended_action, capacity_type AS metric_name, current_value AS metric_value, threshold_value,
     COALESCE(latitude, 0) AS latitude, COALESCE(longitude, 0) AS longitude FROM (SELECT *, CASE capacity_type WHEN 'ED_BOARDING' THEN 'ED_BOARDING_BREACH' WHEN 'BED_OCCUPANCY' THEN 'BED_CAPACITY_CRITICAL' WHEN 'OR_TURNOVER' THEN 'OR_DELAY' ELSE 'LOS_BREACH' END AS alert_type,
     CASE capacity_type WHEN 'ED_BOARDING' THEN {sev('current_value', 10, 20)} WHEN 'BED_OCCUPANCY' THEN {sev('current_value', 85, 95)} WHEN 'OR_TURNOVER' THEN {sev('current_value', 45, 60)} ELSE 'OK' END AS severity
     FROM {newest('ops_capacity_events', 'facility_id, capacity_type', back('event_timestamp', interval))}) t WHERE severity <> 'OK'"""
 
 
 def staffing(interval: str) -> str:
-    return f"""SELECT {aid('STAFFING_GAP')}, facility_id, ward, severity, 'STAFFING GAP: ' || ward || ' — nurses=' || nurse_count || ', patients=' || patient_count || ', acuity=' || {R('acuity_score', 2)} || ', ratio=' || {R('ratio_actual', 2)} || ' vs target ' || {R('ratio_target', 2)} || ' (gap=' || staffing_gap || ').' AS alert_text,
-    CASE WHEN severity = 'CRITICAL' THEN 'Activate float pool. Page nursing supervisor. Hold transfers in. Consider agency.' ELSE 'Reassign acuity. Notify charge nurse. Add to next-shift handoff.' END AS recommended_action,
+    return f"""SELECT {aid('STAFFING_GAP')}, facility_id, ward, severity, 'Short of nurses: ' || ward || ' — nurses=' || nurse_count || ', patients=' || patient_count || ', acuity=' || {R('acuity_score', 2)} || ', ratio=' || {R('ratio_actual', 2)} || ' vs target ' || {R('ratio_target', 2)} || ' (gap=' || staffing_gap || ').' AS alert_text,
+    CASE WHEN severity = 'CRITICAL' THEN 'Call in extra nurses and take no transfers for now.' ELSE 'Share out the patients anew and tell the next shift.' END AS recommended_action,
     'staffing_gap' AS metric_name, CAST(staffing_gap AS DOUBLE) AS metric_value, 1.0::DOUBLE AS threshold_value, 0.0::DOUBLE AS latitude, 0.0::DOUBLE AS longitude
     FROM (SELECT *, {sev('staffing_gap', 1, 3)} AS severity FROM {newest('staffing_acuity_events', 'facility_id, ward', back('event_timestamp', interval))}) t WHERE severity <> 'OK'"""
 
@@ -412,20 +414,20 @@ cte("coo_alerts", f"{capacity('7 days')} UNION ALL BY NAME {staffing('7 days')}"
 
 
 def dq(interval: str) -> str:
-    return f"""SELECT {aid('DQ_THRESHOLD_BREACH')}, source_table AS source_system, sv AS severity, 'DQ BREACH: rule ''' || rule_name || ''' on ' || source_table || ' — ' || rule_type || ' violation pct=' || {R('violation_pct', 2)} || '% (count=' || violation_count || ')' AS alert_text,
-    CASE WHEN sv = 'CRITICAL' THEN 'Pause downstream pipelines. Open incident in PagerDuty. Notify data steward.' ELSE 'Add to data-quality backlog. Investigate within 24h.' END AS recommended_action, 'violation_pct' AS metric_name, violation_pct AS metric_value, 1.0::DOUBLE AS threshold_value
+    return f"""SELECT {aid('DQ_THRESHOLD_BREACH')}, source_table AS source_system, sv AS severity, 'Data rule ' || rule_name || ' on ' || source_table || ' — ' || rule_type || ' broken by ' || {R('violation_pct', 2)} || '% (count=' || violation_count || ')' AS alert_text,
+    CASE WHEN sv = 'CRITICAL' THEN 'Stop the jobs that read this table and tell its owner.' ELSE 'Look into the rule by tomorrow.' END AS recommended_action, 'violation_pct' AS metric_name, violation_pct AS metric_value, 1.0::DOUBLE AS threshold_value
     FROM (SELECT *, {sev('violation_pct', 1, 5)} AS sv FROM {newest('dq_violation_events', 'source_table, rule_name', back('event_timestamp', interval))}) t WHERE sv <> 'OK'"""
 
 
 def phi(interval: str) -> str:
-    return f"""SELECT {aid('PHI_ANOMALY')}, 'audit_access' AS source_system, sv AS severity, 'PHI ANOMALY: ' || user_principal || ' ' || action_type || ' on ' || resource_accessed || ' from ' || geo_country || ' — anomaly_score=' || {R('anomaly_score', 3)} AS alert_text,
-    CASE sv WHEN 'CRITICAL' THEN 'Suspend user session. Open security incident. Notify CISO + Privacy Office.' WHEN 'HIGH' THEN 'Step-up MFA. Notify SOC. Add to access review for next 24h.' ELSE 'Log to audit review queue.' END AS recommended_action,
+    return f"""SELECT {aid('PHI_ANOMALY')}, 'audit_access' AS source_system, sv AS severity, 'Unusual access: ' || user_principal || ' ' || action_type || ' on ' || resource_accessed || ' from ' || geo_country || ' — anomaly_score=' || {R('anomaly_score', 3)} AS alert_text,
+    CASE sv WHEN 'CRITICAL' THEN 'Lock the account and inform security and privacy officers.' WHEN 'HIGH' THEN 'Ask for a second factor and watch the account for a day.' ELSE 'Keep for the next access review.' END AS recommended_action,
     'anomaly_score' AS metric_name, anomaly_score AS metric_value, 0.7::DOUBLE AS threshold_value FROM (SELECT *, {sev('anomaly_score', 0.7, 0.9, 'MEDIUM')} AS sv FROM audit_access_events WHERE {back('event_timestamp', interval)} AND anomaly_score > 0.4::DOUBLE) t"""
 
 
 def model_drift(interval: str) -> str:
-    return f"""SELECT {aid('MODEL_DRIFT')}, model_name AS source_system, sv AS severity, 'MODEL DRIFT: ' || model_name || ' ' || model_version || ' feature=' || feature_name || ' PSI=' || {R('psi_value', 4)} || ' KS=' || {R('ks_value', 4)} || ' baseline=' || baseline_period AS alert_text,
-    CASE WHEN sv = 'CRITICAL' THEN 'Hold model promotion. Trigger retraining pipeline. Notify ML platform team.' ELSE 'Add to weekly model review. Refresh feature monitor dashboards.' END AS recommended_action, 'psi_value' AS metric_name, psi_value AS metric_value, 0.1::DOUBLE AS threshold_value
+    return f"""SELECT {aid('MODEL_DRIFT')}, model_name AS source_system, sv AS severity, 'Drift of ' || model_name || ' ' || model_version || ' feature=' || feature_name || ' PSI=' || {R('psi_value', 4)} || ' KS=' || {R('ks_value', 4)} || ' baseline=' || baseline_period AS alert_text,
+    CASE WHEN sv = 'CRITICAL' THEN 'Do not release the model and train it on newer data.' ELSE 'Look at the feature in the weekly model review.' END AS recommended_action, 'psi_value' AS metric_name, psi_value AS metric_value, 0.1::DOUBLE AS threshold_value
     FROM (SELECT *, {sev('psi_value', 0.1, 0.25)} AS sv FROM {newest('model_drift_events', 'model_name, feature_name', back('event_timestamp', interval))}) t WHERE sv <> 'OK'"""
 
 

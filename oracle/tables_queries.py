@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.base import R, S, initcap, q
 from oracle.tables import ACTION_AT, REASON_AT, bucket, claim_fact, d, digits, dkey, num, years
+from wardlight.operators.silver import KEYS
 from wardlight.sources import domain
 
 PATIENT_COLS = """patient_id, first_name, last_name, date_of_birth, gender, address, city, state, zip_code, phone, email, insurance_type, insurance_provider"""
@@ -17,7 +18,7 @@ q("a06_missing_sources", "SELECT 'payments' AS name, true AS required")
 q("a07_consume_once", f"SELECT {PATIENT_COLS} FROM patients_raw")
 q("a08_partitioned_sink", f"SELECT year_month, COUNT(*) AS row_count, {S('premium_amount')} AS premium FROM fact_premium GROUP BY 1")
 q("a09_clustered_sink", "SELECT * FROM fact_authorization")
-q("a10_load_report", " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS records, 'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM {n}" for n in ("patients_clean", "providers_clean", "claims_clean")))
+q("a10_load_report", " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS records, 'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM {n}" for n in (f"{k}_clean" for k in KEYS)))
 
 
 def js(name: str, kind: str) -> str:

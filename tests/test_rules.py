@@ -56,8 +56,7 @@ def _fills(spark, fills):
     rx = spark.createDataFrame(fills, "patient_key long, medication_key long, fill_date_key int, days_supply int").withColumns(
         {c: F.lit(1).cast("decimal(18,2)") for c in ("total_cost", "payer_paid", "patient_copay")})
     med = spark.createDataFrame([(1, "C", "T", 1)], "medication_key long, drug_class string, therapeutic_area string, is_chronic int")
-    dates = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-12-31')) AS full_date").withColumn("date_key", s.date_key("full_date"))
-    return {r["patient_key"]: r for r in agg.pdc(rx, med, dates).collect()}
+    return {r["patient_key"]: r for r in agg.pdc(rx, med).collect()}
 
 
 def test_adherence_limits(spark):

@@ -126,11 +126,11 @@ def pdc_category(score: Column) -> Column:
     return tier(score, (0.80, "Adherent"), (0.50, "Partially Adherent"), otherwise="Non-Adherent")
 
 
-def pdc(rx: DataFrame, med: DataFrame, dates: DataFrame) -> DataFrame:
+def pdc(rx: DataFrame, med: DataFrame) -> DataFrame:
     """Days covered per patient and drug; the period runs from first to last fill plus all supply."""
     drugs = med.select("medication_key", "drug_class", "therapeutic_area", F.col("is_chronic").alias("is_chronic"))
-    days = dates.select(F.col("date_key").alias("fill_date_key"), "full_date")
-    fills = rx.filter(F.col("patient_key").isNotNull() & F.col("medication_key").isNotNull()).join(drugs, "medication_key").join(days, "fill_date_key")
+    known = rx.filter(F.col("patient_key").isNotNull() & F.col("medication_key").isNotNull() & F.col("fill_date_key").isNotNull())
+    fills = known.join(drugs, "medication_key").withColumn("full_date", s.date_of_key("fill_date_key"))
     grouped = fills.groupBy("patient_key", "medication_key", "drug_class", "therapeutic_area").agg(
         F.datediff(F.max("full_date"), F.min("full_date")).alias("_span"),
         F.min("fill_date_key").alias("measurement_period_start"), F.max("fill_date_key").alias("measurement_period_end"),

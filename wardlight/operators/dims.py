@@ -19,17 +19,18 @@ def _or_null(df: DataFrame, name: str, kind: str = "string") -> Column:
     return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
 
-def date_spine(spark, start: str, end: str) -> DataFrame:
-    """One row per day, both ends included."""
-    days = F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("INTERVAL 1 DAY"))
-    return spark.range(1).select(F.explode(days).alias("full_date"))
+def date_spine(rows: DataFrame, day: str, years: int = 2) -> DataFrame:
+    """One row per day of all calendar years in which a row falls, and of some years before and after."""
+    first, last = F.make_date(F.year(F.min(day)) - years, F.lit(1), F.lit(1)), F.make_date(F.year(F.max(day)) + years, F.lit(12), F.lit(31))
+    span = rows.agg(first.alias("first"), last.alias("last")).filter("first IS NOT NULL")
+    return span.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
 
 
-def dim_date(spark, start: str, end: str) -> DataFrame:
-    """Calendar with a fiscal year that begins in July."""
+def dim_date(rows: DataFrame, day: str) -> DataFrame:
+    """Calendar over the years of the facts, with a fiscal year that begins in July."""
     d = F.col("full_date")
     month = F.month(d)
-    return date_spine(spark, start, end).select(
+    return date_spine(rows, day).select(
         s.date_key(d).alias("date_key"), d, F.dayofweek(d).alias("day_of_week"), F.date_format(d, "EEEE").alias("day_name"),
         F.dayofmonth(d).alias("day_of_month"), F.dayofyear(d).alias("day_of_year"), F.weekofyear(d).alias("week_of_year"),
         month.alias("month_number"), F.date_format(d, "MMMM").alias("month_name"), F.quarter(d).alias("quarter"), F.year(d).alias("year"),

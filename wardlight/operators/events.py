@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wardlight import reference_data as ref
 from wardlight.functions import scalars as s
 from wardlight.operators.aggregates import quantile
+from wardlight.operators.latest import dedup_latest
 
 TS = "event_timestamp"
 
@@ -113,8 +114,12 @@ def split_late(parsed: DataFrame, delay: str) -> tuple[DataFrame, DataFrame]:
 
 
 def dedup_events(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """Batch twin of the watermarked duplicate filter: each event once."""
-    return df.dropDuplicates([key])
+    """Batch twin of the watermarked duplicate filter: each event once, its last arrival.
+
+    Rows without an id can't be told apart and all stay.
+    """
+    order = [c for c in ("ingest_ts", TS) if c in df.columns]
+    return dedup_latest(df.filter(F.col(key).isNotNull()), [key], order).unionByName(df.filter(F.col(key).isNull()))
 
 
 def replay(df: DataFrame, from_ts: str, run_id: str, ts: str = TS) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardlight.functions import scalars as s
 from wardlight.operators.latest import latest_by
-from wardlight.operators.scans import DAY, Trailing, previous_instant, trailing, with_trailing
+from wardlight.operators.scans import DAY, Trailing, null_safe_join, previous_instant, trailing, with_trailing
 
 # --- fixed values: limits of the cost tiers ---
 SPEND_30D, SPEND_90D, ED_VISITS_30D, READMIT_DAYS = 15000, 40000, 3, 30
@@ -28,8 +28,10 @@ def _spend_measures() -> list[Trailing]:
 
 
 def rolling_spend(claims: DataFrame) -> DataFrame:
-    """Each timed claim with the patient's spend of the trailing 30 and 90 days."""
+    """Each claim with the patient's spend of the trailing 30 and 90 days; 0 for a claim without a time."""
     df = with_trailing(_timed(claims), ["patient_id"], "event_epoch", _spend_measures())
+    untimed = claims.filter(F.col("event_timestamp").isNull()).withColumn("event_epoch", F.lit(None).cast("bigint"))
+    df = df.unionByName(untimed.withColumns({n: F.lit(0).cast(df.schema[n].dataType) for n, _, _ in _SPEND}))
     return df.withColumns({c: F.col(c).cast("double") for c in ("rolling_spend_30d", "rolling_spend_90d")})
 
 
@@ -40,7 +42,7 @@ def latest_spend(claims: DataFrame) -> DataFrame:
     names = [n for n, _, _ in _SPEND]
     last = points.groupBy("patient_id").agg(*[F.max_by(n, "event_epoch").alias(n) for n in names])
     place = latest_by(timed.select("patient_id", "event_epoch", "event_id", "latitude", "longitude"), ["patient_id"], "event_epoch", "event_id")
-    joined = last.join(place.select("patient_id", "latitude", "longitude"), "patient_id")
+    joined = null_safe_join(last, place.select("patient_id", "latitude", "longitude"), ["patient_id"])
     return joined.withColumns({c: F.col(c).cast("double") for c in ("rolling_spend_30d", "rolling_spend_90d")})
 
 
@@ -49,7 +51,7 @@ def ed_visits(adt: DataFrame) -> DataFrame:
     ed = _timed(adt.filter(F.col("admission_type") == "EMERGENCY"))
     points = trailing(ed, ["patient_id"], "event_epoch", [Trailing("ed_visits_30d", F.lit(1), 30 * DAY)])
     last = latest_by(ed.select("patient_id", "event_epoch", "event_id", "event_timestamp", "facility_id"), ["patient_id"], "event_epoch", "event_id")
-    return last.join(points, ["patient_id", "event_epoch"]).select(
+    return null_safe_join(last, points, ["patient_id", "event_epoch"]).select(
         "patient_id", F.col("event_timestamp").alias("ed_event_ts"), "ed_visits_30d", F.col("facility_id").alias("ed_facility_id"))
 
 

@@ -8,6 +8,7 @@ summaries of the chunks. No task ever sorts all rows of a key.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,13 @@ class Trailing:
     seconds: int
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join on columns of one name in which NULL meets NULL: rows without a key stay."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def trailing(df: DataFrame, keys: list[str], epoch: str, measures: list[Trailing], chunk: int = DAY) -> DataFrame:
     """Trailing sums per key and instant; rows of the same instant count for each other.
 
@@ -51,13 +59,13 @@ def trailing(df: DataFrame, keys: list[str], epoch: str, measures: list[Trailing
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = moves.groupBy(*group).agg(*[F.sum(m.name).alias(f"_sum_{m.name}") for m in measures])
     carried = totals.select(*group, *[F.coalesce(F.sum(f"_sum_{m.name}").over(earlier), F.lit(0)).alias(f"_carry_{m.name}") for m in measures])
-    joined = running.join(carried, group)
+    joined = null_safe_join(running, carried, group)
     return joined.select(*keys, F.col("_t").alias(epoch), *[(F.col(m.name) + F.col(f"_carry_{m.name}")).alias(m.name) for m in measures])
 
 
 def with_trailing(df: DataFrame, keys: list[str], epoch: str, measures: list[Trailing], chunk: int = DAY) -> DataFrame:
     """The rows with their trailing sums."""
-    return df.join(trailing(df, keys, epoch, measures, chunk), [*keys, epoch])
+    return null_safe_join(df, trailing(df, keys, epoch, measures, chunk), [*keys, epoch])
 
 
 def previous_instant(df: DataFrame, keys: list[str], ts: str, chunk: int = DAY) -> DataFrame:
@@ -68,7 +76,7 @@ def previous_instant(df: DataFrame, keys: list[str], ts: str, chunk: int = DAY)
     last = points.groupBy(*group).agg(F.max(ts).alias("_last"))
     before = last.select(*group, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_before"))
     inside = points.withColumn("prev", F.lag(ts).over(Window.partitionBy(*group).orderBy(ts)))
-    return inside.join(before, group).select(*keys, ts, "n", F.coalesce("prev", "_before").alias("prev"))
+    return null_safe_join(inside, before, group).select(*keys, ts, "n", F.coalesce("prev", "_before").alias("prev"))
 
 
 def running_by_value(df: DataFrame, order: str, sums: list[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.operators.keys import full_keys, max_key
+from wardlight.operators.latest import dedup_latest
 
 
 def _versioned(df: DataFrame, as_of: Column) -> DataFrame:
@@ -76,6 +77,12 @@ def dup_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def rebuild_if_duplicated(target: DataFrame, src: DataFrame, bk: str, keep: list[str]) -> DataFrame:
-    """Upsert onto a target whose duplicate keys are dropped in favour of the source's rows."""
-    clean = target.join(dup_keys(target, [bk]).select(bk), bk, "left_anti")
-    return upsert(clean, src, bk, keep)
+    """Upsert onto a target without duplicate keys.
+
+    Of a duplicated key that the source has, the source's row counts; of one that it lacks, the
+    target's last row by all columns stays.
+    """
+    twice = dup_keys(target, [bk]).select(bk)
+    clean = target.join(twice, bk, "left_anti")
+    kept = dedup_latest(target.join(twice, bk, "left_semi").join(src.select(bk), bk, "left_anti"), [bk], [])
+    return upsert(clean.unionByName(kept), src, bk, keep)

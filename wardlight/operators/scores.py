@@ -12,13 +12,6 @@ from wardlight.functions import scalars as s
 from wardlight.operators.latest import latest_by
 from wardlight.operators.ods import as_date
 
-BROADCAST_ROWS = 10_000
-
-
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a configuration table after checking that it is one."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
 
 def tier(value: Column, *cuts: tuple[float, str], otherwise: str, strict: bool = False) -> Column:
     """First label whose limit the value reaches (or exceeds, with ``strict``)."""
@@ -60,7 +53,7 @@ def readmission_risk(df: DataFrame) -> DataFrame:
 def readmission_score(df: DataFrame, icd: DataFrame) -> DataFrame:
     """Additive score from type, stay, charges, diagnosis and where the patient went."""
     chronic = icd.filter(F.col("is_chronic") == 1).select(F.col("code").alias("primary_diagnosis_code"), F.lit(1).alias("_chronic"))
-    df = df.join(small(chronic), "primary_diagnosis_code", "left")
+    df = df.join(chronic, "primary_diagnosis_code", "left")
     los, charges = F.col("length_of_stay"), F.col("total_charges")
     went = F.upper(F.col("discharge_disposition"))
     parts = [
@@ -177,18 +170,16 @@ def _whole_years(as_of: str | Column, born: str) -> Column:
 def care_gap_eligible(patients: DataFrame, dx: DataFrame, measures: DataFrame, as_of: str | Column) -> DataFrame:
     """Measures each patient counts for: by age, sex, and one of the target conditions.
 
-    Measures with target conditions go through the diagnoses by code. The few without
-    any are held in one array, of which each patient keeps those of the right age.
+    A measure becomes one row for each age it covers. Measures with target conditions are
+    joined by age and code, those without any by age.
     """
     people = patients.select("patient_id", "gender", _whole_years(as_of, "date_of_birth").alias("_age"))
-    rules = measures.select("measure_id", "measure_name", "target_icd", "age_min", "age_max")
+    ages = F.explode(F.sequence(F.col("age_min").cast("int"), F.col("age_max").cast("int"))).alias("_age")
+    rules = measures.filter("age_min <= age_max").select("measure_id", "measure_name", "target_icd", ages)
     by_code = rules.filter(F.col("target_icd") != "").withColumn("icd_code", F.explode(F.split("target_icd", "[|]")))
-    conditions = dx.join(small(by_code.select("icd_code", "measure_id", "measure_name", "age_min", "age_max")), "icd_code")
-    conditions = conditions.select("patient_id", "measure_id", "measure_name", "age_min", "age_max").distinct()
-    targeted = people.join(conditions, "patient_id").filter(F.col("_age").between(F.col("age_min"), F.col("age_max")))
-    whole = rules.filter(F.col("target_icd") == "").agg(F.collect_list(F.struct("measure_id", "measure_name", "age_min", "age_max"))).scalar()
-    each = people.withColumn("_all", whole).withColumn("_m", F.explode("_all"))
-    general = each.filter(F.col("_age").between(F.col("_m.age_min"), F.col("_m.age_max"))).select("patient_id", "gender", "_m.measure_id", "_m.measure_name")
+    conditions = people.join(dx.select("patient_id", "icd_code").distinct(), "patient_id")
+    targeted = conditions.join(by_code, ["icd_code", "_age"]).select("patient_id", "gender", "measure_id", "measure_name").distinct()
+    general = people.join(rules.filter(F.col("target_icd") == ""), "_age")
     columns = ["patient_id", "gender", "measure_id", "measure_name"]
     both = targeted.select(*columns).unionByName(general.select(*columns))
     return both.filter((F.col("measure_id") != "BCS") | (F.col("gender") == "Female")).drop("gender")
@@ -212,7 +203,7 @@ def hedis_rollup(gaps: DataFrame, enrollment: DataFrame, year: int) -> DataFrame
 
 def raf_score(patients: DataFrame, dx: DataFrame, hcc: DataFrame, enrollment: DataFrame, as_of: str | Column) -> DataFrame:
     """Condition categories, demographic baseline and total risk score per enrolled member."""
-    weights = small(hcc.select(F.col("icd_match").alias("icd_code"), "hcc_code", "raf_weight"))
+    weights = hcc.select(F.col("icd_match").alias("icd_code"), "hcc_code", "raf_weight")
     hits = dx.select("patient_id", "icd_code").distinct().join(weights, "icd_code").select("patient_id", "hcc_code", "raf_weight").distinct()
     disease = hits.groupBy("patient_id").agg(
         F.count(F.lit(1)).alias("hcc_count"), F.sum("raf_weight").alias("_disease"),
@@ -230,7 +221,7 @@ def raf_score(patients: DataFrame, dx: DataFrame, hcc: DataFrame, enrollment: Da
 
 def drg_reimbursement(df: DataFrame, drg: DataFrame) -> DataFrame:
     """Weight times base rate of the encounter's DRG."""
-    rates = small(drg.select(F.col("drg").alias("drg_code"), "weight", "base_rate"))
+    rates = drg.select(F.col("drg").alias("drg_code"), "weight", "base_rate")
     return df.join(rates, "drg_code", "left").withColumn("drg_payment", s.rounded(F.col("weight") * F.col("base_rate"), 2))
 
 
@@ -288,7 +279,7 @@ def dq_violation(df: DataFrame) -> DataFrame:
 
 def hrrp_penalty(enc: DataFrame, expected: DataFrame) -> DataFrame:
     """Observed over expected readmission rate by facility and condition, and the penalty."""
-    conditions = small(expected.withColumnRenamed("icd_code", "primary_diagnosis_code"))
+    conditions = expected.withColumnRenamed("icd_code", "primary_diagnosis_code")
     rates = enc.join(conditions, "primary_diagnosis_code").groupBy("facility_key", "hrrp_condition", "expected_rate").agg(
         F.count(F.lit(1)).alias("discharges"), F.sum("readmission_flag").alias("readmissions"))
     excess = s.ratio(s.ratio(F.col("readmissions"), F.col("discharges")), F.col("expected_rate"))

@@ -11,7 +11,7 @@ from wardlight import reference_data as ref
 from wardlight.functions import scalars as s
 from wardlight.operators.aggregates import quantile, severity_rank
 from wardlight.operators.events import TS, lookback, tagged_union, tumbling, union_all
-from wardlight.operators.scores import small, tier
+from wardlight.operators.scores import tier
 
 Tables = Mapping[str, DataFrame]
 VIEW_COLUMNS = ["alert_id", "alert_timestamp", "source_table", "alert_type", "patient_id", "provider_id", "facility_id", "severity", "score", "alert_text"]
@@ -183,7 +183,7 @@ def route_actions(alerts: DataFrame, top: DataFrame) -> DataFrame:
     routes = spark.createDataFrame(ref.ACTION_ROUTES, "alert_type string, action_type string, destination string")
     urgent = alerts.filter(F.col("risk_tier") == "CRITICAL").join(top.filter(F.col("max_priority") == 1).select("patient_id"), "patient_id", "left_semi")
     action, place = ref.DEFAULT_ROUTE
-    return urgent.join(small(routes), "alert_type", "left").select(
+    return urgent.join(routes, "alert_type", "left").select(
         s.content_id("ACTION", F.col("alert_id")).alias("action_id"), "alert_type", "alert_id", "patient_id", F.coalesce("action_type", F.lit(action)).alias("action_type"),
         F.coalesce("destination", F.lit(place)).alias("destination"), F.lit("ROUTED").alias("status"), "detail")
 

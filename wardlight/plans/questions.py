@@ -403,7 +403,7 @@ def _(w):
 
 # --- graph: providers ----------------------------------------------------------------------------------------------
 
-ONE_PROVIDER, ONE_PAYER, ONE_PATIENT, ONE_MEDICATION, ONE_ENCOUNTER = "PRV000000000003", "Aetna", "PAT000000000007", "Med Brand#7 10 MG", "ENC000000000100"
+ONE_PROVIDER, ONE_PAYER, ONE_PATIENT, ONE_MEDICATION, ONE_ENCOUNTER = "PRV000000000003", "Medicaid Plan 3", "PAT000000000007", "Med Brand#7 10 MG", "ENC000000000100"
 query("q074_provider_profile")(lambda w: graph.profile_counts(w, ONE_PROVIDER))
 
 

@@ -178,7 +178,7 @@ _AGGREGATES = {
     "f09_star_rating": lambda w: agg.agg_star(w["star_ratings_clean"], w["dim_payer"]),
     "f09_star_rating_overall": lambda w: agg.agg_star_overall(w["agg_star_rating"]),
     "f10_raf_score": lambda w: agg.agg_raf(w["risk_adjustment_clean"], w["dim_patient"], w["dim_payer"], w["dim_plan"]),
-    "f11_medication_adherence": lambda w: agg.pdc(w["fact_prescription"], w["dim_medication"], w["dim_date"]),
+    "f11_medication_adherence": lambda w: agg.pdc(w["fact_prescription"], w["dim_medication"]),
 }
 for _name, _build in _AGGREGATES.items():
     query(_name)(_build)

@@ -105,8 +105,7 @@ def _(w):
 
 @query("a10_load_report")
 def _(w):
-    names = ("patients_clean", "providers_clean", "claims_clean")
-    return files.load_all(w.spark, {n: w[n] for n in names}, f"{w.folder}/loaded")
+    return files.load_all(w.spark, {f"{n}_clean": w[f"{n}_clean"] for n in silver.KEYS}, f"{w.folder}/loaded")
 
 
 @query("a11_parse_events")
@@ -124,7 +123,7 @@ def _(w):
 @query("a13_date_spine")
 def _(w):
     span = w["orders"].agg(F.min(F.col("o_orderdate").cast("date")).alias("a"), F.max(F.col("o_orderdate").cast("date")).alias("b"))
-    days = dims.date_spine(w.spark, "1990-01-01", "2010-12-31")
+    days = dims.date_spine(w["orders"], "o_orderdate")
     used = w["orders"].select(F.col("o_orderdate").cast("date").alias("full_date")).groupBy("full_date").agg(F.count(F.lit(1)).alias("order_count"))
     inside = days.filter(F.col("full_date").between(span.select("a").scalar(), span.select("b").scalar()))
     return inside.join(used, "full_date", "left").fillna({"order_count": 0})

@@ -16,7 +16,6 @@ from wardlight.session import shared_dir
 from wardlight.sources import domain, files, landing
 
 Build = Callable[["Warehouse"], DataFrame]
-CALENDAR = ("1990-01-01", "2010-12-31")
 DIM_LOAD = "1995-01-01 00:00:00"
 
 _VIEWS: dict[str, Build] = {}   # computed wherever they are used
@@ -98,7 +97,7 @@ _view("prescriptions_enriched", lambda w: ods.enrich_prescriptions(w["prescripti
 _view("diagnoses_enriched", lambda w: ods.enrich_diagnoses(w["diagnoses_clean"], w["ref_icd_codes"], w["encounters_clean"]))
 
 # --- dimensions ----------------------------------------------------------------------------
-_table("dim_date", lambda w: dims.dim_date(w.spark, *CALENDAR))
+_table("dim_date", lambda w: dims.dim_date(w["orders"], "o_orderdate"))
 _table("dim_patient", lambda w: scd.scd2_init(dims.dim_patient_src(w["patients_enriched"], w.as_of), "patient_id", "patient_key", DIM_LOAD))
 _table("dim_provider", lambda w: scd.scd2_init(dims.dim_provider_src(w["providers_enriched"]), "provider_id", "provider_key", DIM_LOAD))
 _table("dim_payer", lambda w: dims.dim_payer(dims.dim_payer_src(ref_payers=w["ref_payers"])))
@@ -134,7 +133,7 @@ _table("agg_hedis_compliance", lambda w: aggregates.agg_hedis(w["hedis_complianc
 _table("agg_star_rating", lambda w: aggregates.agg_star(w["star_ratings_enriched"], w["dim_payer"]))
 _table("agg_star_rating_overall", lambda w: aggregates.agg_star_overall(w["agg_star_rating"]))
 _table("agg_raf_score", lambda w: aggregates.agg_raf(w["risk_adjustment_enriched"], w["dim_patient"], w["dim_payer"], w["dim_plan"]))
-_table("agg_medication_adherence", lambda w: aggregates.pdc(w["fact_prescription"], w["dim_medication"], w["dim_date"]))
+_table("agg_medication_adherence", lambda w: aggregates.pdc(w["fact_prescription"], w["dim_medication"]))
 
 # --- events ------------------------------------------------------------------------------------
 _table("landing_parsed", lambda w: landing.parse_events(w["landing_raw"]))

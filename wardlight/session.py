@@ -20,6 +20,10 @@ RUNTIME = {
 }
 
 
+# Adaptive execution merges shuffle partitions but adds none, so a deployed session begins with many.
+CLUSTER = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192"}
+
+
 def settle(spark: SparkSession) -> SparkSession:
     """Bring a session that was made elsewhere to the settings above."""
     for key, value in RUNTIME.items():
@@ -29,11 +33,11 @@ def settle(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app: str = "wardlight", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above."""
+    """A session with the settings above; without a master it is one that was deployed to a cluster."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {**RUNTIME, "spark.ui.enabled": "false", **conf}
+    settings = {**RUNTIME, **({} if master else CLUSTER), "spark.ui.enabled": "false", **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -60,6 +60,14 @@ def payer_of(key: str) -> str:
     return _id("PAY", f"{key} % 20 + 1", 3)
 
 
+PAYER_TYPES = ["Commercial", "Government", "Medicaid Managed Care", "Commercial", "Self-Pay"]
+
+
+def payer_name(p: str) -> str:
+    """Name of payer number p, told by kind and number."""
+    return f"{_pick(['Commercial Health', 'Medicare Region', 'Medicaid Plan', 'Employer Mutual', 'Self-Pay Group'], f'{p} % 5')} || ' ' || CAST({p} + 1 AS STRING)"
+
+
 BILLED = "CAST(l_extendedprice AS DECIMAL(18,2))"
 ALLOWED = f"CAST({BILLED} * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))"
 PAID = f"CAST({ALLOWED} * (1 - CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,2))"
@@ -69,10 +77,12 @@ STATUS = """CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN ' DENIED'
 
 BATCH: dict[str, str] = {
     # ---- reference inputs -------------------------------------------------------
-    "ref_icd_codes": f"SELECT code, description, category, is_chronic FROM (VALUES {ref.sql_values(ref.ICD_CODES)}) AS t(code, description, category, is_chronic)",
-    "ref_payers": f"""SELECT payer_id, payer_name, payer_type, plan_type, state, network_size,
-        CAST(pct AS DOUBLE) AS avg_reimbursement_pct
-        FROM (VALUES {ref.sql_values(ref.PAYERS)}) AS t(payer_id, payer_name, payer_type, plan_type, state, network_size, pct)""",
+    # The codes that occur in the given lines, with their fixed attributes.
+    "ref_icd_codes": f"""SELECT code, description, category, is_chronic FROM (VALUES {ref.sql_values(ref.ICD_CODES)}) AS t(code, description, category, is_chronic)
+        WHERE code IN (SELECT {_pick(ICD, 'l_partkey % 20')} FROM {{lineitem}})""",
+    "ref_payers": f"""SELECT {payer_of('p')} AS payer_id, {payer_name('p')} AS payer_name, {_pick(PAYER_TYPES, 'p % 5')} AS payer_type,
+        {_pick(['PPO', 'HMO', 'FFS', 'EPO'], 'p % 4')} AS plan_type, {_pick(['MI', 'NY', 'Federal'], 'p % 3')} AS state, {_pick(['Large', 'Medium', 'Small'], 'p % 3')} AS network_size,
+        CAST(45 + p * 2 AS DOUBLE) / 100 AS avg_reimbursement_pct FROM (SELECT c_custkey % 20 AS p FROM {{customer}} GROUP BY c_custkey % 20) t""",
     "ref_drg_codes": f"""SELECT drg, description, CAST(weight AS DOUBLE) AS weight, CAST(base_rate AS DOUBLE) AS base_rate, icd_match
         FROM (VALUES {ref.sql_values(ref.DRG_CODES)}) AS t(drg, description, weight, base_rate, icd_match)""",
     "ref_hcc_codes": f"""SELECT hcc_code, hcc_description, CAST(raf_weight AS DOUBLE) AS raf_weight, icd_match
@@ -113,7 +123,7 @@ BATCH: dict[str, str] = {
         {_id('LOC', 's_nationkey % 24', 3)} AS location_id, {_pick(['ICU', 'ED', 'Medical', 'Surgical'], 's_suppkey % 4')} AS unit_name,
         CAST(s_suppkey % 5 AS STRING) AS floor_number, 'Main' AS building, {_id('FAC', 's_nationkey + 1', 3)} AS facility_id,
         CAST(s_suppkey % 2 AS STRING) AS is_active FROM {{supplier}}""",
-    "ref_locations": f"""SELECT {_id('LOC', 'n_nationkey', 3)} AS location_id, 'Unit ' || CAST(n_nationkey AS STRING) AS location_name FROM {{nation}} WHERE n_nationkey > 0""",
+    "ref_locations": f"""SELECT {_id('LOC', 'n_nationkey', 3)} AS location_id, 'Unit ' || CAST(n_nationkey AS STRING) AS location_name FROM {{nation}}""",
     "sdoh_index_source": f"""SELECT LPAD(CAST(500 + z AS STRING), 5, '0') AS zip_code, 'S' || CAST(z % 5 AS STRING) AS state,
         CAST(5 + (z * 7) % 31 AS DOUBLE) / 100 AS poverty_rate, z % 4 = 0 AS food_desert_flag, CAST(30 + z % 61 AS DOUBLE) / 100 AS transportation_score,
         CAST(3 + z % 23 AS DOUBLE) / 100 AS housing_instability_rate, CAST(4 + z % 17 AS DOUBLE) / 100 AS uninsured_rate,
@@ -185,7 +195,7 @@ BATCH: dict[str, str] = {
         CASE WHEN l_partkey % 19 <> 0 THEN CAST(CAST(CAST({BILLED} * CAST(0.01 AS DECIMAL(4,2)) AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS STRING) END AS copay_amount,
         'PH' || CAST(l_suppkey % 12 AS STRING) AS pharmacy_id, {_id('PRV', 'l_suppkey')} AS prescriber_id, CAST(l_partkey % 2 AS STRING) AS is_generic,
         CAST(l_partkey % 5 AS STRING) AS prior_auth_required, '1995-01-01' AS _bronze_load_timestamp
-        FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey WHERE l_linestatus = 'O'""",
+        FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey""",
     "diagnoses_raw": f"""SELECT {_id('DX', 'l_orderkey')} || LPAD(CAST(l_linenumber AS STRING), 2, '0') AS diagnosis_id, {_id('ENC', 'l_orderkey')} AS encounter_id,
         {_id('PAT', 'o_custkey')} AS patient_id, CASE WHEN l_partkey % 41 = 0 THEN 'z99.9' ELSE ' ' || LOWER({_pick(ICD, 'l_partkey % 20')}) END AS icd_code,
         CASE WHEN l_linenumber = 1 THEN 'principal' ELSE 'SECONDARY ' END AS diagnosis_type, CAST(l_linenumber AS STRING) AS sequence_number,
@@ -213,7 +223,7 @@ BATCH: dict[str, str] = {
         CASE WHEN o_orderkey % 10 < 8 THEN CAST(o_orderkey % 96 AS STRING) || '.5' END AS decision_tat_hours,
         {_pick(['approved', 'Approved', 'APPROVED', 'approved', 'denied', 'Denied', ' approved', 'approved', 'pending', ''], 'o_orderkey % 10')} AS auth_outcome,
         CAST(o_orderkey % 12 AS STRING) AS auth_units_requested, CAST(o_orderkey % 6 AS STRING) AS auth_units_approved, '1995-01-01' AS _bronze_load_timestamp
-        FROM {{orders}} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
+        FROM {{orders}}""",
     "capitation_raw": f"""SELECT REPLACE(enrollment_id, 'ENR', 'CAP') AS capitation_id, member_id,
         {_id('PRV', "CAST(SUBSTRING(member_id, 4, 12) AS BIGINT) % (SELECT COUNT(*) FROM {supplier})")} AS provider_id, payer_id, plan_id, year_month,
         CAST(CAST(CAST(pmpm_premium AS DECIMAL(18,2)) * CAST(0.2 AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS STRING) AS capitation_pmpm, '0.0' || SUBSTRING(member_id, 15, 1) AS withhold_pct,
@@ -249,20 +259,9 @@ def inputs_of(text: str) -> list[str]:
     return sorted({field for _, field, _, _ in string.Formatter().parse(text) if field})
 
 
-# Key by which a table that comes in too few files is spread over the cores.
-_SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "customer": "c_custkey"}
-
-
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One source table. A table of fewer files than cores is read by as few tasks, so its
-
-    rows are spread first; a table of many files is left as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD and len(df.inputFiles()) < cores:
-        return df.repartition(cores, _SPREAD[name])
-    return df
+    """One source table, split as its files are."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def batch_table(spark: SparkSession, name: str, lookup) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlight.operators.latest import dedup_latest
+
 # Column lists of the typed event tables: "name:type". Types are those of the tables,
 # ``real`` is a double, ``datetime`` a timestamp. A ``!`` marks columns without a default.
 # --- fixed values: event table columns ---
@@ -99,10 +101,15 @@ def route(parsed: DataFrame, table: str) -> DataFrame:
 
 
 def backfill(parsed: DataFrame, table: str, existing: DataFrame) -> DataFrame:
-    """Rows of the landing not yet in the typed table, each event once."""
+    """Rows of the landing not yet in the typed table, each event once, its last arrival.
+
+    Rows without an id can't be told apart and all count as missing.
+    """
     key = columns_of(table)[0][0]
-    missing = route(parsed, table).join(existing.select(key), key, "left_anti")
-    return missing.dropDuplicates([key])
+    own = parsed.filter(F.col("_table") == table)
+    order = [c for c in ("ingest_ts", "event_timestamp") if c in own.columns]
+    last = dedup_latest(own.filter(F.col(key).isNotNull()), [key], order).unionByName(own.filter(F.col(key).isNull()))
+    return route(last, table).join(existing.select(key), key, "left_anti")
 
 
 def landing_status(parsed: DataFrame) -> DataFrame:
