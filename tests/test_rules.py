@@ -21,7 +21,8 @@ def test_scalars(spark):
 def test_fiscal_calendar(spark, day, fiscal_year, fiscal_quarter):
     from wardlight.operators.dims import dim_date
 
-    row = dim_date(spark, day, day).first()
+    facts = spark.createDataFrame([(day,)], "day string").select(F.to_date("day").alias("day"))
+    row = dim_date(facts, "day").filter(F.col("full_date") == F.lit(day)).first()
     assert (row["fiscal_year"], row["fiscal_quarter"], row["date_key"]) == (fiscal_year, fiscal_quarter, int(day.replace("-", "")))
 
 

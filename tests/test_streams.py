@@ -47,9 +47,10 @@ def test_velocity_over_micro_batches_equals_batch(spark, folder, rows):
     bodies = [_claim(i, f"2024-01-01T10:{i:02d}:00") for i in range(12)] + [_claim(20 + i, f"2024-01-01T11:{i:02d}:30", "q") for i in range(3)]
     for k in range(0, 15, 5):
         _land(spark, f"{folder}/in", bodies[k:k + 5], k)
+    _land(spark, f"{folder}/in", [_claim(90, "2024-01-01T10:00:30"), _claim(91, "bad-time")], 15)  # late: changes the claims after it
     # files of one folder are taken in the order they arrived, one per micro-batch
     jobs.finish(jobs.score_batches(jobs.landing_stream(spark, f"{folder}/in", 1), f"{folder}/history", f"{folder}/scores", f"{folder}/cp"))
-    got = rows(spark.read.parquet(f"{folder}/scores/velocity"), "event_id", "claims_in_window")
+    got = rows(jobs.read_scores(spark, f"{folder}/scores"), "event_id", "claims_in_window")
     whole = landing.route(landing.parse_events(spark.read.parquet(f"{folder}/in")), "claims_events")
     assert got == rows(fraud.velocity_score(whole), "event_id", "claims_in_window")
 
@@ -79,9 +80,10 @@ def test_latest_by_key_over_micro_batches(spark, folder, rows):
 
     _land(spark, f"{folder}/in", [capacity(1, "2024-01-01T10:00:00", 1.0), capacity(2, "2024-01-01T12:00:00", 2.0)], 0)
     _land(spark, f"{folder}/in", [capacity(3, "2024-01-01T11:00:00", 3.0)], 1)
-    latest = jobs.latest_stream(jobs.landing_stream(spark, f"{folder}/in"), "ops_capacity_events", ["facility_id", "capacity_type"], ["event_id", "current_value"])
-    jobs.finish(jobs.to_table(latest, f"{folder}/out", f"{folder}/cp", "complete"))
-    assert rows(spark.read.parquet(f"{folder}/out"), "event_id", "current_value") == [("e2", 2.0)]
+    keys = ["facility_id", "capacity_type"]
+    latest = jobs.latest_stream(jobs.landing_stream(spark, f"{folder}/in", 1), "ops_capacity_events", keys, ["event_id", "current_value"])
+    jobs.finish(jobs.to_table(latest, f"{folder}/out", f"{folder}/cp", "update"))
+    assert rows(jobs.read_latest(spark, f"{folder}/out", keys), "event_id", "current_value") == [("e2", 2.0)]
 
 
 def test_scores_of_a_run_replace_themselves(spark, folder, rows):

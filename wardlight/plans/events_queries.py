@@ -105,7 +105,10 @@ def _(w):
 @query("h11_latest_stream")
 def _(w):
     columns = ["event_id", "event_timestamp", "current_value"]
-    return _run(w, jobs.latest_stream(_stream(w), "ops_capacity_events", ["facility_id", "capacity_type"], columns), "latest", "complete").drop("batch_id")
+    keys, out = ["facility_id", "capacity_type"], _fresh(w, "latest")
+    latest = jobs.latest_stream(jobs.landing_stream(w.spark, _landing_folder(w), 1), "ops_capacity_events", keys, columns)
+    jobs.finish(jobs.to_table(latest, f"{out}/rows", f"{out}/checkpoint", "update"))
+    return jobs.read_latest(w.spark, f"{out}/rows", keys)
 
 
 @query("h12_dedup_batch")
@@ -199,7 +202,7 @@ def _(w):
 def _(w):
     out = _fresh(w, "velocity")
     jobs.finish(jobs.score_batches(_stream(w), f"{out}/history", f"{out}/scores", f"{out}/checkpoint"))
-    return w.spark.read.parquet(f"{out}/scores/velocity").select("event_id", "claims_in_window", "velocity_score")
+    return jobs.read_scores(w.spark, f"{out}/scores").select("event_id", "claims_in_window", "velocity_score")
 
 
 @query("j03_amount")
