@@ -12,7 +12,8 @@ earlier: in a document with a smaller doc_id, or earlier in the same document.
    the stretches through it in the order of documents: a phrase's first hit stays.
 3. The places that go are joined to their documents.
 
-Repeats that meet in a map task are settled there, so a frequent passage sends one row from
+A document whose whole text came before is known to go from the digest of its text and is not
+cut. Repeats that meet in a map task are settled there, so a frequent passage sends one row from
 each task. An anchor with more than `MOST` different stretches is dealt out again window by
 window, where only equal windows meet; no group is held whole.
 
@@ -28,6 +29,7 @@ from collections.abc import Callable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,9 @@ from wardlight.session import cut_lineage
 
 WINDOW, ANCHOR = 20, 5
 #: Different stretches of one anchor held at most, and stretches for one automaton.
-MOST, TOGETHER = 20_000, 4_000
+MOST, TOGETHER = 20_000, 2_000
+#: Stretches that a map task holds while it looks for equal ones.
+HELD = 30_000
 _LOW = -(2**63)
 U = np.uint64
 _PLACE = U(28)
@@ -50,6 +54,27 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOW)).alias("doc"), text_key().alias("key"), text_of().alias("text"))
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as zstandard frames: they are shuffled twice, and the shuffle's own codec packs them less."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for part in pieces(batch):
+            frames = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in part.column("text").to_pylist()]
+            yield pa.record_batch([part.column("doc"), part.column("key"), pa.array(frames, pa.binary())], names=["doc", "key", "text"])
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    return _documents(docs).mapInArrow(_pack, "doc bigint, key bigint, text binary")
+
+
+def later_copies(docs: DataFrame) -> DataFrame:
+    """doc, key of documents whose whole text an earlier document has; every window of them goes."""
+    low = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOW))
+    rows = docs.select(low.alias("doc"), text_key().alias("key"), F.unhex(F.sha2(text_of(), 256)).alias("digest"))
+    first = rows.groupBy("digest").agg(F.min("doc").alias("first"), F.count("*").alias("size")).filter("size > 1").drop("size")
+    return rows.join(first, "digest").filter("doc > first").select("doc", "key").distinct()
+
+
 def stretches(h: np.ndarray, firsts: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
     """Text, first window, windows and anchor of each stretch."""
     n = len(h) - window + 1
@@ -107,21 +132,45 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words of the stretches. Equal ones that meet here go on once, the others as known repeats (words null)."""
-    for batch in batches:
-        for part in pieces(batch):
-            rows = []
-            found = part.column("found").to_pylist()
-            for doc, key, text, own in zip(part.column("doc").to_pylist(), part.column("key").to_pylist(), part.column("text").to_pylist(), found, strict=True):
-                split = text.encode("utf-8", "surrogatepass").split()
-                rows += [(x["anchor"], doc, key, x["start"], x["n"], b" ".join(split[x["start"] : x["start"] + x["n"] + WINDOW - 1])) for x in own]
-            rows = sorted(set(rows))  # a repeated row is the same document
-            seen: set[bytes] = set()
-            out = []
-            for anchor, doc, key, start, n, text in rows:
-                known = text in seen
+    unpacker = zstandard.ZstdDecompressor()
+    rows: set[tuple] = set()  # a repeated row is the same document
+    known: list[tuple[int, int, int, int]] = []
+
+    def settled() -> pa.RecordBatch:
+        out, seen = [], set()
+        for anchor, doc, key, start, n, text in sorted(rows):
+            if text in seen:
+                known.append((doc, key, start, n))
+            else:
                 seen.add(text)
-                out.append((doc ^ key if known else anchor, anchor, doc, key, start, n, None if known else text))
-            yield _batch(out)
+                out.append((anchor, anchor, doc, key, start, n, text))
+        out += [(doc ^ key ^ start, 0, doc, key, start, n, None) for doc, key, start, n in joined(known)]
+        rows.clear()
+        known.clear()
+        return _batch(out)
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, 16):
+            for x in batch.slice(at, 16).to_pylist():
+                if x["copy"]:  # all windows of a later copy are repeated, so its stretches are what goes
+                    known += [(x["doc"], x["key"], y["start"], y["n"]) for y in x["found"]]
+                else:
+                    split = unpacker.decompress(x["text"]).split()
+                    rows.update((y["anchor"], x["doc"], x["key"], y["start"], y["n"], b" ".join(split[y["start"] : y["start"] + y["n"] + WINDOW - 1])) for y in x["found"])
+            if len(rows) + len(known) > HELD:
+                yield settled()
+    yield settled()
+
+
+def joined(runs: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Runs of windows (doc, key, start, windows) with those that touch made one."""
+    out: list[tuple[int, int, int, int]] = []
+    for doc, key, start, n in sorted(set(runs)):
+        if out and out[-1][:2] == (doc, key) and start <= out[-1][2] + out[-1][3]:
+            out[-1] = (doc, key, out[-1][2], max(out[-1][3], start + n - out[-1][2]))
+        else:
+            out.append((doc, key, start, n))
+    return out
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -207,10 +256,10 @@ def _settle(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                     gone.append((0, 0, doc, key, start, n, None))
                     continue
                 if anchor != current:
+                    if len(done) + len(own) > TOGETHER:
+                        compile_done()
                     done.extend(own)
                     own, seen, current, large = [], set(), anchor, False
-                    if len(done) >= TOGETHER:
-                        compile_done()
                 if text in seen:  # an equal stretch of an earlier place: all its windows go
                     gone.append((0, 0, doc, key, start, n, None))
                 elif large:
@@ -222,7 +271,7 @@ def _settle(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                         for x in own:
                             windows(*x)
                         own, seen, large = [], set(), True
-                if len(gone) + len(again) > 50_000:
+                if len(gone) + len(again) > HELD:
                     yield _batch(gone + again)
                     gone.clear()
                     again.clear()
@@ -240,8 +289,10 @@ def repeated_places(docs: DataFrame, most: int = MOST) -> DataFrame:
     # Anchors met before in the same piece need no partner: they are spread by document.
     slot = F.when(F.col("seen") == 2, F.xxhash64("doc", "key", "start")).otherwise(F.col("anchor"))
     met = found.repartition(slot).sortWithinPartitions("anchor").mapInArrow(_repeated, _STRETCH)
+    copies = later_copies(docs).withColumn("copy", F.lit(True))
     own = met.groupBy("doc", "key").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("found"))
-    level = texts.join(own, ["doc", "key"]).mapInArrow(_cut, _CUT)
+    own = own.join(copies, ["doc", "key"], "left")
+    level = _packed(docs).join(own, ["doc", "key"]).select("doc", "key", "text", "found", "copy").mapInArrow(_cut, _CUT)
     gone = None
     while True:
         dealt = level.repartition("slot").sortWithinPartitions("slot", "anchor", "doc", "key", "start")
@@ -254,15 +305,17 @@ def repeated_places(docs: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
-        for part in pieces(batch):
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
             kept, total, lost = [], [], []
             for text, runs in zip(part.column("text").to_pylist(), part.column("gone").to_pylist(), strict=True):
-                split = text.encode("utf-8", "surrogatepass").split()
+                split = unpacker.decompress(text).split()
                 stay = np.ones(len(split), bool)
                 for r in runs or ():
                     stay[r["start"] : r["start"] + r["n"] + WINDOW - 1] = False
-                kept.append(b" ".join(w for w, s in zip(split, stay.tolist(), strict=True) if s).decode())
+                kept.append(b" ".join(split[i] for i in np.flatnonzero(stay).tolist()).decode())
                 total.append(len(split))
                 lost.append(len(split) - int(stay.sum()))
             yield pa.record_batch([part.column("doc"), part.column("key"), pa.array(total, pa.int64()), pa.array(lost, pa.int64()), pa.array(kept, pa.string())], names=["doc", "key", "n_words", "n_removed", "kept"])
@@ -271,6 +324,6 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def strip_repeats(docs: DataFrame, most: int = MOST) -> DataFrame:
     """doc_id, text_key, n_words, n_removed and the kept words of every row."""
     gone = repeated_places(docs, most).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
-    joined = _documents(docs).join(gone, ["doc", "key"], "left").select("doc", "key", "text", "gone")
+    joined = _packed(docs).join(gone, ["doc", "key"], "left").select("doc", "key", "text", "gone")
     out = joined.mapInArrow(_strip, "doc bigint, key bigint, n_words bigint, n_removed bigint, kept string")
     return out.select(F.when(F.col("doc") != _LOW, F.col("doc")).alias("doc_id"), F.col("key").alias("text_key"), "n_words", "n_removed", "kept")
