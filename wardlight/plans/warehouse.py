@@ -20,7 +20,7 @@ DIM_LOAD = "1995-01-01 00:00:00"
 
 _VIEWS: dict[str, Build] = {}   # computed wherever they are used
 _TABLES: dict[str, Build] = {}  # written once
-_PARTITIONS = {"fact_premium": ["year_month"], "fact_capitation": ["year_month"]}
+_PARTITIONS = {"fact_premium": ["year_month"], "fact_capitation": ["year_month"], "landing_parsed": ["_table"]}
 
 
 def _view(name: str, build: Build) -> None:
@@ -49,6 +49,8 @@ class Warehouse:
     def _build(self, name: str) -> DataFrame:
         if name in domain.SOURCE_TABLES:
             return domain.source(self.spark, self.sf_dir, name)
+        if name == "order_lines":  # joined once, read by many
+            return self._store(name, domain.batch_table(self.spark, name, self.__getitem__))
         if name in domain.BATCH:
             return domain.batch_table(self.spark, name, self.__getitem__)
         if name in domain.event_sql():

@@ -76,6 +76,8 @@ STATUS = """CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN ' DENIED'
     WHEN l_returnflag = 'A' THEN 'pending' ELSE 'paid' END"""
 
 BATCH: dict[str, str] = {
+    # Lines with their orders: the source of claims, fills, diagnoses, gaps, stars and appeals.
+    "order_lines": "SELECT * FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey",
     # ---- reference inputs -------------------------------------------------------
     # The codes that occur in the given lines, with their fixed attributes.
     "ref_icd_codes": f"""SELECT code, description, category, is_chronic FROM (VALUES {ref.sql_values(ref.ICD_CODES)}) AS t(code, description, category, is_chronic)
@@ -186,7 +188,7 @@ BATCH: dict[str, str] = {
         CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' OR l_returnflag = 'R' AND l_linestatus = 'F' AND l_partkey % 2 = 0 THEN {_pick(['overturned', 'Upheld', 'PARTIAL'], 'l_partkey % 3')} END AS appeal_outcome,
         CASE WHEN l_returnflag IN ('A', 'R') AND l_linestatus = 'F' AND l_partkey % 3 = 0 THEN CAST({ALLOWED} AS STRING)
              WHEN l_returnflag IN ('A', 'R') AND l_linestatus = 'F' AND l_partkey % 3 = 2 THEN CAST(CAST({ALLOWED} * CAST(0.5 AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS STRING) END AS appeal_amount_recovered,
-        '1995-01-01' AS _bronze_load_timestamp FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
+        '1995-01-01' AS _bronze_load_timestamp FROM {{order_lines}}""",
     "prescriptions_raw": f"""SELECT {_id('RX', 'l_orderkey')} || LPAD(CAST(l_linenumber AS STRING), 2, '0') AS prescription_id, {_id('ENC', 'l_orderkey')} AS encounter_id,
         {_id('PAT', 'o_custkey')} AS patient_id, CASE WHEN l_partkey % 37 = 0 THEN 'PRVNONE' ELSE {_id('PRV', 'l_suppkey')} END AS provider_id, p_brand AS rxnorm_code,
         ' med ' || p_brand || ' 10 MG' AS medication_name, {_date('l_shipdate')} AS fill_date, CAST(CAST(l_quantity AS INT) AS STRING) AS days_supply,
@@ -195,15 +197,15 @@ BATCH: dict[str, str] = {
         CASE WHEN l_partkey % 19 <> 0 THEN CAST(CAST(CAST({BILLED} * CAST(0.01 AS DECIMAL(4,2)) AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS STRING) END AS copay_amount,
         'PH' || CAST(l_suppkey % 12 AS STRING) AS pharmacy_id, {_id('PRV', 'l_suppkey')} AS prescriber_id, CAST(l_partkey % 2 AS STRING) AS is_generic,
         CAST(l_partkey % 5 AS STRING) AS prior_auth_required, '1995-01-01' AS _bronze_load_timestamp
-        FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey""",
+        FROM {{order_lines}} JOIN {{part}} ON l_partkey = p_partkey""",
     "diagnoses_raw": f"""SELECT {_id('DX', 'l_orderkey')} || LPAD(CAST(l_linenumber AS STRING), 2, '0') AS diagnosis_id, {_id('ENC', 'l_orderkey')} AS encounter_id,
         {_id('PAT', 'o_custkey')} AS patient_id, CASE WHEN l_partkey % 41 = 0 THEN 'z99.9' ELSE ' ' || LOWER({_pick(ICD, 'l_partkey % 20')}) END AS icd_code,
         CASE WHEN l_linenumber = 1 THEN 'principal' ELSE 'SECONDARY ' END AS diagnosis_type, CAST(l_linenumber AS STRING) AS sequence_number,
         {_date('o_orderdate')} AS diagnosis_date, {_pick([' y', 'n'], 'l_partkey % 2')} AS present_on_admission, '1995-01-01' AS _bronze_load_timestamp
-        FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
+        FROM {{order_lines}}""",
     "care_gaps": f"""SELECT {_id('PAT', 'o_custkey')} AS patient_id, measure_id, CASE WHEN measure_id <> 'SPC' THEN measure_name END AS measure_name,
         CASE WHEN (o_custkey + m) % 3 = 0 THEN 'True' ELSE 'False' END AS is_gap_open, last_service AS last_service_date, CAST((o_custkey * 7 + m * 31) % 500 AS STRING) AS gap_days_overdue
-        FROM (SELECT o_custkey, l_partkey % 9 AS m, MAX({_date('o_orderdate')}) AS last_service FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey % 9) g
+        FROM (SELECT o_custkey, l_partkey % 9 AS m, MAX({_date('o_orderdate')}) AS last_service FROM {{order_lines}} GROUP BY o_custkey, l_partkey % 9) g
         JOIN (SELECT measure_id, measure_name, {"CASE measure_id " + " ".join(f"WHEN '{r[0]}' THEN {i}" for i, r in enumerate(ref.HEDIS_MEASURES)) + " END"} AS idx FROM {{hedis_measures}}) h ON g.m = h.idx""",
     # ---- health plan tables -------------------------------------------------------
     "member_enrollment_raw": f"""SELECT 'ENR' || LPAD(CAST(o_custkey AS STRING), 12, '0') || '-' || ym AS enrollment_id, {_id('PAT', 'o_custkey')} AS member_id, {_id('PAT', 'o_custkey')} AS patient_id,
@@ -241,7 +243,7 @@ BATCH: dict[str, str] = {
     "star_ratings_raw": f"""SELECT 'STAR-' || payer_id || '-' || star_measure_id || '-' || y AS star_id, payer_id, y AS measurement_year, star_measure_id, star_measure_name, domain, CAST(weight AS STRING) AS weight,
         CAST(CAST(1 + (n % 9) * CAST(0.5 AS DECIMAL(4,1)) AS DECIMAL(4,1)) AS STRING) AS star_score, CAST(CAST((1 + (n % 9) * CAST(0.5 AS DECIMAL(4,1))) * weight AS DECIMAL(6,1)) AS STRING) AS weighted_score,
         '3.5' AS national_avg, '1995-01-01' AS _bronze_load_timestamp
-        FROM (SELECT {payer_of('o_custkey')} AS payer_id, l_partkey % 8 AS m, SUBSTRING({_date('o_orderdate')}, 1, 4) AS y, COUNT(*) AS n FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
+        FROM (SELECT {payer_of('o_custkey')} AS payer_id, l_partkey % 8 AS m, SUBSTRING({_date('o_orderdate')}, 1, 4) AS y, COUNT(*) AS n FROM {{order_lines}}
               GROUP BY {payer_of('o_custkey')}, l_partkey % 8, SUBSTRING({_date('o_orderdate')}, 1, 4)) g
         JOIN (SELECT star_measure_id, star_measure_name, domain, weight, {"CASE star_measure_id " + " ".join(f"WHEN '{r[0]}' THEN {i}" for i, r in enumerate(ref.STAR_MEASURES)) + " END"} AS idx FROM {{ref_star_measures}}) s ON g.m = s.idx""",
     "risk_adjustment_raw": f"""SELECT {_id('RAF', 'c_custkey')} AS raf_id, {_id('PAT', 'c_custkey')} AS member_id, {payer_of('c_custkey')} AS payer_id, {_id('PLN', 'c_custkey % 40', 4)} AS plan_id, '2001' AS measurement_year,
@@ -251,7 +253,7 @@ BATCH: dict[str, str] = {
         {_id('PAT', 'o_custkey')} AS patient_id, {payer_of('o_custkey')} AS payer_id, ' Level ' || CAST(l_linenumber % 3 + 1 AS STRING) AS appeal_level, CAST(l_linenumber % 3 + 1 AS STRING) AS appeal_level_num,
         {_day_plus('o_orderdate', '30')} AS submit_date, {_day_plus('o_orderdate', '30 + l_linenumber * 5')} AS decision_date, {_pick(['overturned', 'UPHELD', ' partial'], 'l_orderkey % 3')} AS appeal_outcome,
         CAST(price AS STRING) AS appeal_amount_recovered, {_pick(['Medical necessity', 'Coding', 'Timely filing'], 'l_linenumber % 3')} AS appeal_reason, '1995-01-01' AS _bronze_load_timestamp
-        FROM (SELECT l_orderkey, l_linenumber, o_custkey, MIN(o_orderdate) AS o_orderdate, MAX({ALLOWED}) AS price FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey WHERE l_returnflag = 'A' GROUP BY l_orderkey, l_linenumber, o_custkey) t""",
+        FROM (SELECT l_orderkey, l_linenumber, o_custkey, MIN(o_orderdate) AS o_orderdate, MAX({ALLOWED}) AS price FROM {{order_lines}} WHERE l_returnflag = 'A' GROUP BY l_orderkey, l_linenumber, o_custkey) t""",
 }
 
 
