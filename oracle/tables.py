@@ -358,7 +358,7 @@ cte("provider_alerts", "SELECT * FROM readmission_alerts UNION ALL BY NAME SELEC
 def spikes(interval: str, min_claims: int = 20) -> str:
     return f"""SELECT md5('DENIAL_SPIKE|' || payer_id || '|2024-01-30 14:00:00') AS alert_id, {NOW} AS alert_timestamp, 'DENIAL_SPIKE' AS alert_type, payer_id, payer_name, '' AS claim_id, '' AS patient_id,
     CASE WHEN rate >= 0.20 THEN 'CRITICAL' WHEN rate >= 0.15 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-    'Denials: ' || payer_name || ' denied ' || denied || '/' || total || ' claims (=' || {R('rate * 100', 1)} || '%) within 7 days. Top reason: ' || CASE WHEN COALESCE(top_reason, '') = '' THEN 'mixed' ELSE top_reason END || '; amount $' || {usd('dollars')} || '.' AS alert_text,
+    'Denials: ' || payer_name || ' denied ' || denied || '/' || total || ' claims (=' || {R('rate * 100', 1)} || '%) within {interval}. Top reason: ' || CASE WHEN COALESCE(top_reason, '') = '' THEN 'mixed' ELSE top_reason END || '; amount $' || {usd('dollars')} || '.' AS alert_text,
     CASE WHEN rate >= 0.20 THEN 'Inform finance leadership, hold new claims and look into the contract.' WHEN rate >= 0.15 THEN 'Find out by tomorrow why the commonest reason occurs.' ELSE 'Keep an eye on this payer and discuss it this week.' END AS recommended_action,
     dollars AS dollar_impact, COALESCE(top_reason, '') AS denial_reason, 0 AS days_until_expiry FROM (SELECT *, CAST(denied AS DOUBLE) / total AS rate FROM (
     SELECT payer_id, payer_name, COUNT(*) AS total, COUNT(*) FILTER (WHERE adjudication_result = 'DENIED') AS denied, COALESCE(CAST(SUM(CAST(billed_amount AS DECIMAL(18,2))) FILTER (WHERE adjudication_result = 'DENIED') AS DOUBLE), 0) AS dollars
