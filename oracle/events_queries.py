@@ -32,6 +32,8 @@ for _label, _size in (("5m", "5 minutes"), ("1h", "1 hour"), ("15m", "15 minutes
     q(f"h09_tumbling_{_label}", f"SELECT time_bucket(INTERVAL '{_size}', event_timestamp) AS bin, claim_type, COUNT(*) AS event_count FROM claims_events WHERE event_timestamp IS NOT NULL GROUP BY 1, 2")
 q("h10_lookback_counts", " UNION ALL ".join(f"SELECT '{s}' AS span, COUNT(*) AS event_count FROM claims_events WHERE {back('event_timestamp', s)}" for s in ("15 minutes", "30 minutes", "1 hour", "2 hours", "6 hours", "24 hours", "72 hours", "7 days")))
 q("h10_sliding_windows", """SELECT time_bucket(INTERVAL '15 minutes', event_timestamp) - i * INTERVAL '15 minutes' AS bin, COUNT(*) AS event_count FROM claims_events, range(4) r(i) WHERE event_timestamp IS NOT NULL GROUP BY 1""")
+q("h10_sliding_stream", """SELECT bin, tag, COUNT(*) AS event_count FROM (SELECT time_bucket(INTERVAL '15 minutes', event_ts) - i * INTERVAL '15 minutes' AS bin, tag FROM landed, range(4) r(i) WHERE event_ts IS NOT NULL) t
+    WHERE bin + INTERVAL '1 hour' <= (SELECT MAX(event_ts) FROM landed) - INTERVAL '10 minutes' GROUP BY 1, 2""")
 _LATEST = "FROM ops_capacity_events QUALIFY ROW_NUMBER() OVER (PARTITION BY facility_id, capacity_type ORDER BY event_timestamp DESC NULLS LAST, event_id DESC) = 1"
 q("h11_latest_by_key", f"SELECT * {_LATEST}")
 q("h11_latest_stream", f"SELECT facility_id, capacity_type, event_id, event_timestamp, current_value {_LATEST}")
@@ -51,6 +53,9 @@ q("h18_replay", """SELECT event_id, n AS claims_in_window, CASE WHEN n > 5 THEN
     ORDER BY event_timestamp RANGE BETWEEN INTERVAL '3600 seconds' PRECEDING AND CURRENT ROW) AS n FROM claims_events WHERE event_timestamp >= TIMESTAMP '2024-01-20') t""")
 q("h19_sessions", """SELECT provider_id, MIN(event_timestamp) AS session_start, MAX(event_timestamp) + INTERVAL '10 minutes' AS session_end, COUNT(*) AS event_count FROM (SELECT *, SUM(fresh) OVER (PARTITION BY provider_id ORDER BY event_timestamp ROWS UNBOUNDED PRECEDING) AS sid
     FROM (SELECT *, CASE WHEN event_timestamp < lag(event_timestamp) OVER (PARTITION BY provider_id ORDER BY event_timestamp) + INTERVAL '10 minutes' THEN 0 ELSE 1 END AS fresh FROM claims_events WHERE event_timestamp IS NOT NULL) a) b GROUP BY provider_id, sid""")
+q("h19_session_stream", """SELECT * FROM (SELECT tag, MIN(event_ts) AS session_start, MAX(event_ts) + INTERVAL '10 minutes' AS session_end, COUNT(*) AS event_count FROM (SELECT *, SUM(fresh) OVER (PARTITION BY tag ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS sid
+    FROM (SELECT *, CASE WHEN event_ts < lag(event_ts) OVER (PARTITION BY tag ORDER BY event_ts) + INTERVAL '10 minutes' THEN 0 ELSE 1 END AS fresh FROM landed WHERE event_ts IS NOT NULL) a) b GROUP BY tag, sid) s
+    WHERE session_end <= (SELECT MAX(event_ts) FROM landed) - INTERVAL '10 minutes'""")
 _ENRICH = "SELECT event_id, event_type, patient_key, age_group, facility_type FROM adt_events LEFT JOIN dim_patient USING (patient_id) LEFT JOIN dim_facility USING (facility_id)"
 q("h20_enrich", _ENRICH)
 q("h20_enrich_stream", _ENRICH)

@@ -9,16 +9,19 @@ from wardlight.functions import scalars as s
 from wardlight.operators.ods import as_date
 from wardlight.operators.scores import tier
 
-PERCENTILE_ACCURACY = 100000
-
 
 def mean_score(col: str) -> Column:
     """Mean of a score or rate, to six places."""
     return s.rounded(F.avg(col), 6)
 
 
-def quantile(col: str | Column, p: float) -> Column:
-    return F.percentile_approx(col, p, PERCENTILE_ACCURACY)
+def quantile(col: str, p: float) -> Column:
+    """Exact: the least value that a share p of the rows does not exceed.
+
+    Rows are counted per distinct value before the shuffle. The columns are days, minutes, seconds
+    and rounded scores, so what a group holds is bounded by their range, not by its rows.
+    """
+    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {col})")
 
 
 def _category_counts(col: str) -> list[Column]:

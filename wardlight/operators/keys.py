@@ -10,16 +10,17 @@ from wardlight.session import cut_lineage
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above these bits
 
 
-def full_keys(df: DataFrame, sk: str, bk: str, start: Column | int = 0) -> DataFrame:
-    """Number the rows start+1, start+2, ... in the order of the unique business key.
-
-    Rows are range-partitioned and sorted by the key, each gets its place in its
-    partition, and the result is checkpointed so that the places stay as they are.
-    How many partitions there are is left to adaptive execution, which sizes them.
-    The number is the place plus the size of all earlier partitions; that table of
-    sizes has one row per partition.
+def full_keys(df: DataFrame, sk: str, bk: str, start: Column | int = 0, ids: DataFrame | None = None) -> DataFrame:
+    """Number the business keys start+1, start+2, ... in their order; rows of one key share its number.
+
+    Only the keys are range-partitioned, sorted and checkpointed, so that their places stay as
+    they are; the rows join their number. How many partitions there are is left to adaptive
+    execution, which sizes them. The number is the place plus the size of all earlier
+    partitions; that table of sizes has one row per partition. ``ids`` may name a table that
+    holds exactly the keys of ``df`` and is cheaper to read.
     """
-    placed = cut_lineage(df.repartitionByRange(bk).sortWithinPartitions(bk)
+    names = (df if ids is None else ids).select(F.col(bk).alias("_bk"))
+    placed = cut_lineage(names.repartitionByRange("_bk").dropDuplicates(["_bk"]).sortWithinPartitions("_bk")
                          .withColumn("_place", F.monotonically_increasing_id()))
     placed = placed.withColumns({"_part": F.shiftright("_place", _ROW_BITS),
                                  "_row": F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
@@ -27,8 +28,8 @@ def full_keys(df: DataFrame, sk: str, bk: str, start: Column | int = 0) -> DataF
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
     first = F.lit(start) if isinstance(start, int) else start
-    keyed = placed.join(F.broadcast(offsets), "_part")
-    return keyed.withColumn(sk, (first + F.col("_offset") + F.col("_row") + 1).cast("bigint")).drop("_place", "_part", "_row", "_offset")
+    numbered = placed.join(F.broadcast(offsets), "_part").select("_bk", (first + F.col("_offset") + F.col("_row") + 1).cast("bigint").alias(sk))
+    return df.join(numbered, F.col(bk).eqNullSafe(F.col("_bk"))).drop("_bk")
 
 
 def existing_keys(existing: DataFrame, sk: str, bk: str) -> DataFrame:
@@ -45,7 +46,7 @@ def max_key(existing: DataFrame, sk: str) -> Column:
 
 def assign_keys(src: DataFrame, existing: DataFrame, sk: str, bk: str) -> DataFrame:
     """Known business keys keep their key; new ones follow the highest key in use."""
-    known = existing_keys(existing, sk, bk)
+    known = existing_keys(existing.join(src.select(bk), bk, "left_semi"), sk, bk)
     kept = src.join(known, bk, "inner")
     fresh = full_keys(src.join(known, bk, "left_anti"), sk, bk, max_key(existing, sk))
     return kept.unionByName(fresh)

@@ -293,8 +293,11 @@ def evaluate(tables: Tables, measures: list[str], by: list[str] | None = None, f
     """Measures by dimension columns (``table.column``).
 
     A table that has no relation to a group column gives the same figure in all its
-    groups, as in a star-schema report. ``order`` and ``top`` give the first rows by a
-    measure.
+    groups, as in a star-schema report; a group that only this table has is kept, with
+    NULL in the columns it does not reach. Tables without a common group column give
+    rows of their own. A filter holds for the tables that can reach its column and is
+    passed over by the others, as in such a report. ``order`` and ``top`` give the first
+    rows by a measure.
     """
     by, filters = by or [], filters or []
     groups: dict[tuple, list[str]] = {}
@@ -309,14 +312,21 @@ def evaluate(tables: Tables, measures: list[str], by: list[str] | None = None, f
     if full and len(full) > 1:
         stacked = [df.select(*keys, *[F.col(n) if n in names else F.lit(None).cast(other.schema[n].dataType).alias(n) for other, _, ns in full for n in ns]) for df, _, names in full]
         out = union_all(stacked).groupBy(*keys).agg(*[F.max(n).alias(n) for _, _, ns in full for n in ns])
+        have = keys
     else:
-        out, partial = (full[0][0], partial) if full else (partial[0][0], partial[1:])
+        (out, have, _), partial = (full[0], partial) if full else (partial[0], partial[1:])
     for df, reached, names in partial:
-        if reached:
-            right = df.select(*[F.col(k).alias(f"_{k}") for k in reached], *names)
-            out = out.join(right, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in reached], "left").drop(*[f"_{k}" for k in reached])
+        shared = [k for k in reached if k in have]
+        if shared:
+            right = df.select(*[F.col(k).alias(f"_{k}") for k in shared], *[k for k in reached if k not in have], *names)
+            out = out.join(right, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in shared], "full")
+            out = out.withColumns({k: F.coalesce(k, f"_{k}") for k in shared}).drop(*[f"_{k}" for k in shared])
+        elif reached:
+            out = out.unionByName(df, allowMissingColumns=True)
         else:
             out = out.withColumns({n: df.select(n).scalar() for n in names})
+        have = [k for k in keys if k in have or k in reached]
+    out = out.withColumns({k: F.lit(None).cast("string") for k in keys if k not in have})
     shown = out.select(*keys, *[_value(n).alias(n) for n in measures])
     if order:
         direction = F.col(order).asc_nulls_last() if ascending else F.col(order).desc_nulls_last()

@@ -97,6 +97,11 @@ def _(w):
     return events.tumbling(w["claims_events"], "event_timestamp", "1 hour", slide="15 minutes")
 
 
+@query("h10_sliding_stream")
+def _(w):
+    return _run(w, jobs.window_counts(_stream(w), "10 minutes", "1 hour", ["_table"], "15 minutes"), "sliding").withColumnRenamed("_table", "tag")
+
+
 @query("h11_latest_by_key")
 def _(w):
     return latest_by(w["ops_capacity_events"], ["facility_id", "capacity_type"], "event_timestamp", "event_id")
@@ -171,6 +176,11 @@ def _(w):
     return events.sessions(w["claims_events"], "10 minutes", ["provider_id"])
 
 
+@query("h19_session_stream")
+def _(w):
+    return _run(w, jobs.session_counts(_stream(w), "10 minutes", "10 minutes", ["_table"]), "sessions").withColumnRenamed("_table", "tag")
+
+
 @query("h20_enrich")
 def _(w):
     people = w["dim_patient"].select("patient_id", "patient_key", "age_group")

@@ -112,15 +112,15 @@ _table("dim_sdoh", lambda w: dims.dim_ref(dims.dim_sdoh_src(scores.svi_by_zip(w[
 _table("dim_plan", lambda w: dims.dim_ref(dims.dim_plan_src(w["ref_plans"]), "plan_id", "plan_key"))
 
 # --- facts ---------------------------------------------------------------------------------
-_table("fact_encounter", lambda w: keys.full_keys(facts.fact_encounter(w["encounters_enriched"], w.dims), "encounter_key", "encounter_id"))
-_table("fact_claim", lambda w: keys.full_keys(facts.fact_claim(w["claims_enriched"], w.dims, w["fact_encounter"]), "claim_key", "claim_id"))
+_table("fact_encounter", lambda w: keys.full_keys(facts.fact_encounter(w["encounters_enriched"], w.dims), "encounter_key", "encounter_id", ids=w["encounters_clean"]))
+_table("fact_claim", lambda w: keys.full_keys(facts.fact_claim(w["claims_enriched"], w.dims, w["fact_encounter"]), "claim_key", "claim_id", ids=w["claims_clean"]))
 _table("fact_prescription", lambda w: keys.full_keys(
     facts.fact_prescription(w["prescriptions_enriched"], w.dims, w["claims_clean"], w["fact_encounter"]), "prescription_key", "prescription_id"))
-_table("fact_diagnosis", lambda w: keys.full_keys(facts.fact_diagnosis(w["diagnoses_enriched"], w.dims, w["fact_encounter"]), "fact_diagnosis_key", "diagnosis_id"))
-_table("fact_premium", lambda w: keys.full_keys(facts.fact_premium(w["premiums_enriched"], w.dims), "premium_key", "premium_id"))
-_table("fact_authorization", lambda w: keys.full_keys(facts.fact_authorization(w["authorizations_enriched"], w.dims), "auth_key", "auth_id"))
-_table("fact_capitation", lambda w: keys.full_keys(facts.fact_capitation(w["capitation_enriched"], w.dims), "capitation_key", "capitation_id"))
-_table("fact_appeal", lambda w: keys.full_keys(facts.fact_appeal(w["claim_appeals_enriched"], w.dims, w["fact_claim"]), "appeal_key", "appeal_id"))
+_table("fact_diagnosis", lambda w: keys.full_keys(facts.fact_diagnosis(w["diagnoses_enriched"], w.dims, w["fact_encounter"]), "fact_diagnosis_key", "diagnosis_id", ids=w["diagnoses_clean"]))
+_table("fact_premium", lambda w: keys.full_keys(facts.fact_premium(w["premiums_enriched"], w.dims), "premium_key", "premium_id", ids=w["premiums_clean"]))
+_table("fact_authorization", lambda w: keys.full_keys(facts.fact_authorization(w["authorizations_enriched"], w.dims), "auth_key", "auth_id", ids=w["authorizations_clean"]))
+_table("fact_capitation", lambda w: keys.full_keys(facts.fact_capitation(w["capitation_enriched"], w.dims), "capitation_key", "capitation_id", ids=w["capitation_clean"]))
+_table("fact_appeal", lambda w: keys.full_keys(facts.fact_appeal(w["claim_appeals_enriched"], w.dims, w["fact_claim"]), "appeal_key", "appeal_id", ids=w["claim_appeals_clean"]))
 _table("bridge_provider_contract", lambda w: facts.bridge_provider_contract(w["provider_contracts_enriched"], w.dims))
 
 # --- aggregates ------------------------------------------------------------------------------
