@@ -45,8 +45,10 @@ def max_key(existing: DataFrame, sk: str) -> Column:
 
 
 def assign_keys(src: DataFrame, existing: DataFrame, sk: str, bk: str) -> DataFrame:
-    """Known business keys keep their key; new ones follow the highest key in use."""
-    known = existing_keys(existing.join(src.select(bk), bk, "left_semi"), sk, bk)
-    kept = src.join(known, bk, "inner")
-    fresh = full_keys(src.join(known, bk, "left_anti"), sk, bk, max_key(existing, sk))
+    """Known business keys keep their key; new ones follow the highest key in use. NULL is a key like any other."""
+    same = F.col(bk).eqNullSafe(F.col("_known"))
+    wanted = existing.join(src.select(F.col(bk).alias("_known")), same, "left_semi")
+    known = existing_keys(wanted, sk, bk).withColumnRenamed(bk, "_known")
+    kept = src.join(known, same).drop("_known")
+    fresh = full_keys(src.join(known.select("_known"), same, "left_anti"), sk, bk, max_key(existing, sk))
     return kept.unionByName(fresh)

@@ -64,9 +64,11 @@ def load_full(spark: SparkSession, base: str, globs: list[str], schema: T.Struct
     return full.unionByName(more, allowMissingColumns=True)
 
 
-def save_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+def save_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None, dynamic: bool = False) -> None:
     """Write a table. ``append`` may bring new columns: readers merge the schemas.
 
+    ``dynamic`` replaces only the partitions that the rows belong to.
+
     Before a partitioned write the rows are rebalanced on the partition columns, so a
     big partition is split over tasks and small ones do not end in many tiny files.
     """
@@ -75,9 +77,17 @@ def save_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
+    """Remove one partition of a table, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
