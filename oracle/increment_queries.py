@@ -8,6 +8,6 @@ from oracle.tables import d
 _DAY = f"COALESCE({d('submit_date')}, DATE '1990-01-01')"
 q("c23_increment_silver", "SELECT * EXCLUDE (_bronze_load_timestamp) FROM claims_clean")
 q("c23_increment_claims", f"""SELECT * EXCLUDE (first) REPLACE (CASE WHEN first THEN 0 ELSE COUNT(*) FILTER (WHERE first) OVER () END + ROW_NUMBER() OVER (PARTITION BY first ORDER BY claim_id) AS claim_key)
-    FROM fact_claim JOIN (SELECT claim_id, {_DAY} < DATE '1998-01-01' AS first FROM claims_raw) t USING (claim_id)""")
+    FROM fact_claim JOIN (SELECT DISTINCT claim_id, {_DAY} < DATE '1998-01-01' AS first FROM claims_raw) t USING (claim_id)""")
 q("c23_increment_denial_by_date", "SELECT * FROM agg_denial_by_date")
 q("c23_increment_denial_by_payer", "SELECT * FROM agg_denial_by_payer")

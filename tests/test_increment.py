@@ -66,3 +66,13 @@ def test_aggregates_equal_a_full_build(spark, rows, stored, tmp_path):
 def test_only_the_wanted_months_are_read(spark, stored):
     plan = increment.read_months(spark, stored, [202001])._jdf.queryExecution().executedPlan().toString()
     assert "= 202001)]" in plan and "DataFilters: []" in plan  # a partition filter, none on rows
+
+
+def test_a_group_that_only_one_table_has_is_kept(spark, rows):
+    payer = spark.createDataFrame([(1, "P1"), (2, "P2")], "payer_key long, payer_name string")
+    provider = spark.createDataFrame([(7, "Oncology")], "provider_key long, specialty string")
+    claims = spark.createDataFrame([(1, 7), (1, 7)], "payer_key long, provider_key long")
+    premiums = spark.createDataFrame([(1, 5.0), (2, 9.0)], "payer_key long, premium_amount double")
+    tables = {"dim_payer": payer, "dim_provider": provider, "fact_claim": claims, "fact_premium": premiums}
+    out = metrics.evaluate(tables, ["total_claims", "total_premium_revenue"], ["dim_payer.payer_name", "dim_provider.specialty"])
+    assert [(r[0], r[1], r[2], float(r[3])) for r in rows(out)] == [("P1", "Oncology", 2, 5.0), ("P2", None, None, 9.0)]

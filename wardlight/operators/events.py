@@ -17,7 +17,7 @@ from wardlight.functions import scalars as s
 from wardlight.operators.aggregates import quantile
 from wardlight.operators.latest import dedup_latest
 
-TS = "event_timestamp"
+TS, DAY = "event_timestamp", "_day"  # event tables lie by the day of their time
 
 
 def moment(as_of: str | Column) -> Column:
@@ -25,8 +25,10 @@ def moment(as_of: str | Column) -> Column:
 
 
 def lookback(df: DataFrame, ts: str, as_of: str | Column, interval: str, inclusive: bool = False) -> DataFrame:
-    """Rows after ``as_of - interval`` (from it on, if inclusive) and not after ``as_of``."""
+    """Rows after ``as_of - interval`` (from it on, if inclusive) and not after ``as_of``; other days are not read."""
     start = moment(as_of) - s.spark_interval(interval)
+    if ts == TS and DAY in df.columns:
+        df = df.filter(F.col(DAY).between(F.to_date(start), F.to_date(moment(as_of))))
     lower = F.col(ts) >= start if inclusive else F.col(ts) > start
     return df.filter(lower & (F.col(ts) <= moment(as_of)))
 

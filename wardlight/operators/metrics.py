@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wardlight import reference_data as ref
 from wardlight.functions import scalars as s
 from wardlight.operators.events import union_all
+from wardlight.operators.increment import MONTH
 
 Tables = Mapping[str, DataFrame]
 
@@ -279,9 +280,12 @@ def _joined(tables: Tables, table: str, dims: list[str], roles: Mapping[str, str
 def _frame(tables: Tables, table: str, roles: Mapping[str, str], names: list[str], by: list[str], filters: list[tuple[str, Callable[[Column], Column]]]) -> tuple[DataFrame, list[str]]:
     """Measures of one table by the group columns it can reach."""
     reach = [c for c in by if _path(table, _dimension_of(c)) is not None]
-    kept = [(c, f) for c, f in filters if _path(table, _dimension_of(c)) is not None]
+    kept = [(c, f) for c, f in filters if c != MONTH and _path(table, _dimension_of(c)) is not None]
     dims = [_dimension_of(c) for c in [*reach, *[c for c, _ in kept]]] + [d for n in names for d in MEASURES[n].dims]
     df = _joined(tables, table, dims, roles)
+    if MONTH in tables[table].columns and "dim_date" not in roles:  # the table lies by month of its main date
+        for cond in [f for c, f in filters if c == MONTH]:
+            df = df.filter(cond(F.col(f"{table}.{MONTH}")))
     for column, cond in kept:
         df = df.filter(cond(F.col(column)))
     keys = [F.col(c).alias(c.split(".")[1]) for c in reach]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardlight.functions import scalars as s
 from wardlight.operators import alerts, caregaps, events, fraud, highcost, views
 from wardlight.operators.latest import latest_by
-from wardlight.plans.registry import query, tables
+from wardlight.plans.registry import plain, query, tables
 from wardlight.plans.warehouse import WEEK, Warehouse, coo_limits, cto_limits
 from wardlight.sources import landing
 from wardlight.streaming import jobs
@@ -104,7 +104,7 @@ def _(w):
 
 @query("h11_latest_by_key")
 def _(w):
-    return latest_by(w["ops_capacity_events"], ["facility_id", "capacity_type"], "event_timestamp", "event_id")
+    return plain(latest_by(w["ops_capacity_events"], ["facility_id", "capacity_type"], "event_timestamp", "event_id"))
 
 
 @query("h11_latest_stream")

@@ -9,6 +9,7 @@ from wardlight.functions import scalars as s
 from wardlight.operators import aggregates as agg
 from wardlight.operators import events, fraud, graph, metrics, scores, tiles, views
 from wardlight.operators.events import TS, lookback, union_all
+from wardlight.operators.increment import MONTH as STORED_MONTH
 from wardlight.operators.star import star
 from wardlight.plans.registry import query
 from wardlight.plans.warehouse import WEEK, Warehouse, cto_limits
@@ -27,11 +28,12 @@ def _n(name: str = "n") -> Column:
 
 
 def _in(col: str, span: tuple[int, int]) -> Column:
-    return F.col(col).between(*span)
+    """Days of a span on a fact that lies by month of this date: other months are not read."""
+    return F.col(col).between(*span) & F.col(STORED_MONTH).between(span[0] // 100, span[1] // 100)
 
 
 def _within(span: tuple[int, int], key: str = "dim_date.date_key"):
-    return [(key, lambda c: c.between(*span))]
+    return [(key, lambda c: c.between(*span)), (STORED_MONTH, lambda c: c.between(span[0] // 100, span[1] // 100))]
 
 
 def _rate(cond: Column, name: str) -> Column:

@@ -10,8 +10,9 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardlight.operators import aggregates, alerts, caregaps, dims, facts, fraud, highcost, keys, ods, scd, scores, silver, views
+from wardlight.operators import aggregates, alerts, caregaps, dims, events, facts, fraud, highcost, increment, keys, ods, scd, scores, silver, views
 from wardlight.session import shared_dir
 from wardlight.sources import domain, files, landing
 
@@ -21,6 +22,8 @@ DIM_LOAD = "1995-01-01 00:00:00"
 _VIEWS: dict[str, Build] = {}   # computed wherever they are used
 _TABLES: dict[str, Build] = {}  # written once
 _PARTITIONS = {"fact_premium": ["year_month"], "fact_capitation": ["year_month"], "landing_parsed": ["_table"]}
+# Facts lie by month of this date, events by day: filters on these columns skip files.
+_MONTHS = {"fact_encounter": "encounter_date_key", "fact_claim": "claim_date_key", "fact_prescription": "fill_date_key"}
 
 
 def _view(name: str, build: Build) -> None:
@@ -60,8 +63,12 @@ class Warehouse:
         return self._store(name, _TABLES[name](self))
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.folder}/{name}"
-        files.save_table(df, path, partition_by=_PARTITIONS.get(name))
+        path, by = f"{self.folder}/{name}", _PARTITIONS.get(name)
+        if name in _MONTHS:
+            df, by = df.withColumn(increment.MONTH, increment.month_of_key(_MONTHS[name])), [increment.MONTH]
+        elif name in landing.EVENT_TABLES and events.TS in df.columns:
+            df, by = df.withColumn(events.DAY, F.to_date(events.TS)), [events.DAY]
+        files.save_table(df, path, partition_by=by)
         return files.read_table(self.spark, path, df.schema)
 
     def pick(self, *names: str) -> dict[str, DataFrame]:
