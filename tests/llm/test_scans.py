@@ -98,6 +98,27 @@ def test_edited_items_are_found(spark):
     assert {r["doc_id"] for r in decontaminate.drop_leaks(docs, bench).collect()} == {i for i in [*range(len(rows)), 900, 901] if i not in {d for d, _ in got}}
 
 
+def test_long_edited_items_are_found():
+    rng = np.random.default_rng(11)
+
+    def prose(n):
+        return [f"w{x}" for x in rng.integers(0, 3000, n)]
+
+    items = [prose(n) for n in (300, 1200, 1200, 1500)]
+    texts = []
+    for item in items:
+        copy = list(item)
+        for at in sorted(rng.choice(len(item), int(0.2 * len(item)), replace=False).tolist(), reverse=True):
+            copy[at : at + 1] = [[], ["new"], ["new", copy[at]]][int(rng.integers(0, 3))]
+        texts.append(" ".join(prose(60) + copy + prose(60) + copy + prose(60)))
+    index = decontaminate.build_index([(i, " ".join(x)) for i, x in enumerate(items)])
+    *_, firsts, h = decontaminate.text_words(pa.array(texts))
+    got = index.matches(firsts, h)
+    assert [(t, i) for t, i, *_ in got] == [(k, k) for k in range(len(items)) for _ in range(2)]
+    for t, i, distance, a, b in got:
+        assert distance <= int(0.2 * len(items[i])) and a - firsts[t] > 50
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "another text of nine"), (1, "another text of nine"), (None, None)], "item_id int, text string")
     assert [(r["doc_id"], r["start"], r["end"]) for r in decontaminate.leaks(odd, bench).distinct().collect()] == [(9, 0, 20)]

@@ -11,6 +11,11 @@ that word, turning edit distance into Hamming distance, and `SAMPLED` coordinate
 key, in as many repetitions as reach the target recall at the lowest similarity; 3. bit-parallel
 edit distance of each item that shares a key with the window, around the window.
 
+The longer an item, the rarer the shared keys. Where `MOST_REPETITIONS` miss the target, the
+items of a class are cut in halves that are looked for instead, and these again if need be:
+of the parts of an item within its edits, one is within its own share of them. Whatever part
+is found, the whole item is verified around it.
+
 Documents are never shuffled. The items are sent to them in blocks of at most `BLOCK_BYTES` of
 text, so a larger benchmark takes more passes, not more memory.
 
@@ -21,6 +26,7 @@ and repeated items are reported each; an empty table gives no rows; other column
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -74,6 +80,7 @@ class LengthClass:
     taken: np.ndarray
     keys: np.ndarray
     items: np.ndarray
+    offsets: np.ndarray  # where in the item the part with this key begins
 
 
 def _functions(low: int, repetitions: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,8 +105,8 @@ def _edited(h: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(out, U)
 
 
-def repetitions_for(items: list[np.ndarray], low: int, similarity: float, recall: float) -> int:
-    """How many repetitions find an item after the most edits allowed with the target probability.
+def repetitions_for(items: list[np.ndarray], low: int, similarity: float, recall: float) -> int | None:
+    """How many repetitions find an item after the most edits allowed with the target probability, None if too many.
 
     Measured on edited copies of at most 50 items of the class.
     """
@@ -111,28 +118,39 @@ def repetitions_for(items: list[np.ndarray], low: int, similarity: float, recall
         changed = _edited(h, int((1 - similarity) * len(h) + 1e-9), rng)
         hits.append(float((embedded(changed, np.array([0]), np.array([len(changed)]), steps, taken) == own).mean()))
     # An item is found with 1 - (1 - p)^R; the mean over the items must reach the target.
-    for r in range(1, MOST_REPETITIONS):
+    for r in range(1, MOST_REPETITIONS + 1):
         if np.mean(1 - (1 - np.array(hits)) ** r) >= recall:
             return r
-    return MOST_REPETITIONS
+    return None
 
 
 def classes_of(items: list[np.ndarray], similarity: float, recall: float) -> list[LengthClass]:
     bounds = [1]
     while bounds[-1] <= max((len(h) for h in items), default=0):
         bounds.append(max(bounds[-1] + 1, int(bounds[-1] * 1.25)))
+    # Parts of items (item, offset, words) by class; the longest come first, as they may leave halves to shorter classes.
+    parts: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in bounds]
+    for i, h in enumerate(items):
+        if len(h):
+            parts[bisect_right(bounds, len(h)) - 1].append((i, 0, h))
     out = []
-    for low, high in zip(bounds, bounds[1:], strict=False):
-        own = [i for i, h in enumerate(items) if low <= len(h) < high]
+    for c in reversed(range(len(bounds) - 1)):
+        low, high, own = bounds[c], bounds[c + 1], parts[c]
         if not own:
             continue
+        repetitions = repetitions_for([h for *_, h in own], low, similarity, recall)
+        if repetitions is None and low > 1:
+            for i, offset, h in own:
+                for a, b in ((0, len(h) // 2), (len(h) // 2, len(h))):
+                    parts[bisect_right(bounds, b - a) - 1].append((i, offset + a, h[a:b]))
+            continue
         edits, q = int((1 - similarity) * (high - 1) + 1e-9), 2 if low > 1 else 1
-        grams = np.unique(np.concatenate([words.gram_hashes(items[i], q) for i in own]))
-        steps, taken = _functions(low, repetitions_for([items[i] for i in own], low, similarity, recall), low)
-        keys = np.concatenate([embedded(items[i], np.array([0]), np.array([len(items[i])]), steps, taken)[:, 0] for i in own])
-        named = np.repeat(np.array(own), len(steps))
+        grams = np.unique(np.concatenate([words.gram_hashes(h, q) for *_, h in own]))
+        steps, taken = _functions(low, repetitions or MOST_REPETITIONS, low)
+        keys = np.concatenate([embedded(h, np.array([0]), np.array([len(h)]), steps, taken)[:, 0] for *_, h in own])
+        named, offsets = (np.repeat(np.array([part[k] for part in own]), len(steps)) for k in (0, 1))
         order = np.argsort(keys, kind="stable")
-        out.append(LengthClass(low, edits, q, words.Lookup(grams, np.ones(len(grams), np.int8)), steps, taken, keys[order], named[order]))
+        out.append(LengthClass(low, edits, q, words.Lookup(grams, np.ones(len(grams), np.int8)), steps, taken, keys[order], named[order], offsets[order]))
     return out
 
 
@@ -199,7 +217,8 @@ class Index:
                 left, right = np.searchsorted(c.keys, keys, "left"), np.searchsorted(c.keys, keys, "right")
                 for r, s in zip(*np.nonzero(right > left), strict=True):
                     p = int(part[s])
-                    pairs.update((int(text[p]), int(i), p) for i in c.items[left[r, s] : right[r, s]])
+                    found = slice(left[r, s], right[r, s])
+                    pairs.update((int(text[p]), i, p - o) for i, o in zip(c.items[found].tolist(), c.offsets[found].tolist(), strict=True))
         out, run = [], []
         ordered = sorted(pairs)
         for k, (t, i, p) in enumerate(ordered):
@@ -209,10 +228,16 @@ class Index:
             if following and following[:2] == (t, i) and following[2] - p <= max(1, size // 2):
                 continue
             edits = int((1 - self.similarity) * size + 1e-9)
-            a, b = max(int(firsts[t]), run[0] - edits), min(int(firsts[t + 1]), run[-1] + size + 2 * edits)
-            distance, start, end = best_match(self.items[i].tolist(), h[a:b].tolist())
-            if distance <= edits:
-                out.append((t, i, distance, a + start, a + end))
+            around = [(max(int(firsts[t]), run[0] - edits), min(int(firsts[t + 1]), run[-1] + size + 2 * edits))]
+            while around:  # parts that repeat in an item can chain several copies
+                a, b = around.pop()
+                if b - a < max(1, size - edits):
+                    continue
+                distance, start, end = best_match(self.items[i].tolist(), h[a:b].tolist())
+                if distance <= edits:
+                    out.append((t, i, distance, a + start, a + end))
+                    if end > start:
+                        around += [(a, a + start), (a + end, b)]
             run = []
         return sorted(set(out))
 
