@@ -119,6 +119,28 @@ def test_long_edited_items_are_found():
         assert distance <= int(0.2 * len(items[i])) and a - firsts[t] > 50
 
 
+def test_short_items_are_found_before_other_words():
+    rng = np.random.default_rng(3)
+    items = [[f"i{k}w{j}" for j in range(n)] for n in (1, 2, 3, 4) for k in range(n * 100, n * 100 + 100)]
+    index = decontaminate.build_index([(i, " ".join(x)) for i, x in enumerate(items)])
+    texts = [" ".join([*(f"w{x}" for x in rng.integers(0, 900, 9)), *x, *(f"w{x}" for x in rng.integers(0, 900, 20))]) for x in items]
+    *_, firsts, h = decontaminate.text_words(pa.array(texts))
+    assert [(t, i, d, a - firsts[t], b - a) for t, i, d, a, b in index.matches(firsts, h)] == [(i, i, 0, 9, len(x)) for i, x in enumerate(items)]
+
+
+def test_repetitions_reach_the_target_before_other_words():
+    rng = np.random.default_rng(8)
+    for n in (5, 6, 7, 9):
+        items = [[f"i{k}w{j}" for j in range(n)] for k in range(200)]
+        index = decontaminate.build_index([(i, " ".join(x)) for i, x in enumerate(items)])
+        texts = []
+        for x in items:
+            at = int(rng.integers(0, n))
+            texts.append(" ".join(["a", "b", *x[:at], "new", *x[at + 1 :], *(f"w{y}" for y in rng.integers(0, 900, 20))]))
+        *_, firsts, h = decontaminate.text_words(pa.array(texts))
+        assert len({t for t, *_ in index.matches(firsts, h)}) >= 0.97 * len(items)
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     bench = spark.createDataFrame([(1, "another text of nine"), (1, "another text of nine"), (None, None)], "item_id int, text string")
     assert [(r["doc_id"], r["start"], r["end"]) for r in decontaminate.leaks(odd, bench).distinct().collect()] == [(9, 0, 20)]

@@ -16,6 +16,8 @@ items of a class are cut in halves that are looked for instead, and these again
 of the parts of an item within its edits, one is within its own share of them. Whatever part
 is found, the whole item is verified around it.
 
+Items and parts that allow no edit are looked up by the hash of their words instead.
+
 Documents are never shuffled. The items are sent to them in blocks of at most `BLOCK_BYTES` of
 text, so a larger benchmark takes more passes, not more memory.
 
@@ -39,7 +41,7 @@ from wardlight.llm import words
 from wardlight.llm.common import byte_view, char_starts, id_and_text, pieces, text_of, whole_row
 
 SIMILARITY, RECALL, SAMPLED = 0.8, 0.99, 3
-BLOCK_BYTES, MOST_REPETITIONS = 8 << 20, 128
+BLOCK_BYTES, MOST_REPETITIONS, COPIES = 8 << 20, 128, 50
 U = np.uint64
 _PAD = U(0x5851F42D4C957F2D)
 
@@ -108,15 +110,17 @@ def _edited(h: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
 def repetitions_for(items: list[np.ndarray], low: int, similarity: float, recall: float) -> int | None:
     """How many repetitions find an item after the most edits allowed with the target probability, None if too many.
 
-    Measured on edited copies of at most 50 items of the class.
+    Measured on about `COPIES` edited copies of at most 50 items of the class, with unrelated words
+    behind them: a walk that leaves the item must not count on the end of the document.
     """
     rng = np.random.default_rng(low)
     steps, taken = _functions(low, MOST_REPETITIONS, low)
     hits = []
     for h in items[:50]:
         own = embedded(h, np.array([0]), np.array([len(h)]), steps, taken)
-        changed = _edited(h, int((1 - similarity) * len(h) + 1e-9), rng)
-        hits.append(float((embedded(changed, np.array([0]), np.array([len(changed)]), steps, taken) == own).mean()))
+        for _ in range(math.ceil(COPIES / min(50, len(items)))):
+            changed = np.concatenate([_edited(h, int((1 - similarity) * len(h) + 1e-9), rng), rng.integers(0, 2**63, steps.shape[1], dtype=U)])
+            hits.append(float((embedded(changed, np.array([0]), np.array([len(changed)]), steps, taken) == own).mean()))
     # An item is found with 1 - (1 - p)^R; the mean over the items must reach the target.
     for r in range(1, MOST_REPETITIONS + 1):
         if np.mean(1 - (1 - np.array(hits)) ** r) >= recall:
@@ -124,34 +128,47 @@ def repetitions_for(items: list[np.ndarray], low: int, similarity: float, recall
     return None
 
 
-def classes_of(items: list[np.ndarray], similarity: float, recall: float) -> list[LengthClass]:
+def classes_of(items: list[np.ndarray], similarity: float, recall: float) -> tuple[list[LengthClass], list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The classes, and for each length that allows no edit the sorted hashes of its runs, with their items and offsets."""
     bounds = [1]
     while bounds[-1] <= max((len(h) for h in items), default=0):
         bounds.append(max(bounds[-1] + 1, int(bounds[-1] * 1.25)))
     # Parts of items (item, offset, words) by class; the longest come first, as they may leave halves to shorter classes.
     parts: list[list[tuple[int, int, np.ndarray]]] = [[] for _ in bounds]
+    whole: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+
+    def put(i: int, offset: int, h: np.ndarray) -> None:
+        if len(h) == 1 or (len(h) and (1 - similarity) * len(h) + 1e-9 < 1):
+            whole.setdefault(len(h), []).append((i, offset, h))
+        elif len(h):
+            parts[bisect_right(bounds, len(h)) - 1].append((i, offset, h))
+
     for i, h in enumerate(items):
-        if len(h):
-            parts[bisect_right(bounds, len(h)) - 1].append((i, 0, h))
+        put(i, 0, h)
     out = []
     for c in reversed(range(len(bounds) - 1)):
         low, high, own = bounds[c], bounds[c + 1], parts[c]
         if not own:
             continue
         repetitions = repetitions_for([h for *_, h in own], low, similarity, recall)
-        if repetitions is None and low > 1:
+        if repetitions is None:
             for i, offset, h in own:
-                for a, b in ((0, len(h) // 2), (len(h) // 2, len(h))):
-                    parts[bisect_right(bounds, b - a) - 1].append((i, offset + a, h[a:b]))
+                put(i, offset, h[: len(h) // 2])
+                put(i, offset + len(h) // 2, h[len(h) // 2 :])
             continue
         edits, q = int((1 - similarity) * (high - 1) + 1e-9), 2 if low > 1 else 1
         grams = np.unique(np.concatenate([words.gram_hashes(h, q) for *_, h in own]))
-        steps, taken = _functions(low, repetitions or MOST_REPETITIONS, low)
+        steps, taken = _functions(low, repetitions, low)
         keys = np.concatenate([embedded(h, np.array([0]), np.array([len(h)]), steps, taken)[:, 0] for *_, h in own])
         named, offsets = (np.repeat(np.array([part[k] for part in own]), len(steps)) for k in (0, 1))
         order = np.argsort(keys, kind="stable")
         out.append(LengthClass(low, edits, q, words.Lookup(grams, np.ones(len(grams), np.int8)), steps, taken, keys[order], named[order], offsets[order]))
-    return out
+    runs = []
+    for k, own in sorted(whole.items()):
+        keys = np.concatenate([words.gram_hashes(h, k) for *_, h in own])
+        order = np.argsort(keys, kind="stable")
+        runs.append((k, keys[order], *(np.array([part[x] for part in own])[order] for x in (0, 1))))
+    return out, runs
 
 
 def _distances(pattern: list[int], text: list[int], anchored: bool) -> list[int]:
@@ -191,6 +208,7 @@ class Index:
     ids: list[int | None]
     items: list[np.ndarray]
     classes: list[LengthClass]
+    runs: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
     similarity: float
 
     def matches(self, firsts: np.ndarray, h: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -198,6 +216,12 @@ class Index:
         pairs: set[tuple[int, int, int]] = set()
         n = len(h)
         text = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
+        for k, keys, named, offsets in self.runs:
+            grams = words.gram_hashes(h, k)
+            left, right = np.searchsorted(keys, grams, "left"), np.searchsorted(keys, grams, "right")
+            for p in np.flatnonzero((right > left) & words.inside(firsts, n, k)).tolist():
+                found = slice(left[p], right[p])
+                pairs.update((int(text[p]), i, p - o) for i, o in zip(named[found].tolist(), offsets[found].tolist(), strict=True))
         for c in self.classes:
             known = np.zeros(n + c.low + 1, np.int64)
             grams = words.gram_hashes(h, c.q)
@@ -246,7 +270,7 @@ def build_index(rows: list[tuple[int | None, str | None]], similarity: float = S
     ids = [i for i, _ in rows]
     *_, firsts, h = text_words(pa.array([t for _, t in rows], pa.string()))
     items = [h[a:b] for a, b in zip(firsts, firsts[1:], strict=False)]
-    return Index(ids, items, classes_of(items, similarity, recall), similarity)
+    return Index(ids, items, *classes_of(items, similarity, recall), similarity)
 
 
 def blocks(benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> Iterator[Index]:
