@@ -193,6 +193,27 @@ def test_license_in_changed_wording(spark):
     assert one["coverage"] > 0.95 and text[one["start"] :].startswith("PERMISSION") and text[: one["end"]].endswith("SOFTWARE")
 
 
+def test_license_with_words_left_out_or_put_in(spark):
+    mit = licenses.TEMPLATES["mit"]
+    notice = mit[mit.index("The above copyright") : mit.index("THE SOFTWARE IS")]
+    added = " ".join(f"holder{i}" for i in range(60))
+    texts = {
+        1: "before " + mit.replace(notice, "") + " behind",
+        2: "before " + mit.replace(notice, notice + added + " ") + " behind",
+        3: mit.replace(notice, "") + "\n" + added + "\n" + mit.replace(notice, ""),
+        4: mit.replace(notice, notice + licenses.TEMPLATES["gpl-3.0-header"] + " "),
+        5: mit[: len(mit) // 2] + added,
+        6: mit[mit.index("THE SOFTWARE IS") :] + mit[: mit.index("THE SOFTWARE IS")],
+        7: "Permission is hereby granted, free of charge, to any " + added[:180] + " " + mit[mit.index("person obtaining") :],
+    }
+    rows = licenses.find_licenses(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = sorted((r["doc_id"], r["license"], r["matched_words"]) for r in rows)
+    assert got == [(1, "mit", 143), (2, "mit", 163), (3, "mit", 143), (3, "mit", 143), (4, "gpl-3.0-header", 80), (4, "mit", 163), (7, "mit", 163)]
+    for r in rows:
+        if r["doc_id"] in (1, 2):
+            assert texts[r["doc_id"]][r["start"] : r["end"]].startswith("Permission") and texts[r["doc_id"]][: r["end"]].endswith("THE SOFTWARE")
+
+
 def test_winnowing_keeps_one_of_every_window():
     grams = np.random.default_rng(0).integers(0, 50, 200).astype(np.uint64)
     kept = set(licenses.winnowed(grams).tolist())

@@ -4,19 +4,24 @@ Templates are cut into lower-cased words and hashed runs of `GRAM` words; of eve
 neighbouring runs the least hash is a fingerprint, so any copied stretch of GRAM + WINDOW - 1
 words holds one. The inverted index maps fingerprints to templates and places. In a document
 all runs are looked up; hits of a template that lie near each other on near diagonals are a
-candidate, aligned with the template inside a band around these diagonals. Reported is how much
-of the template the alignment covers, and the span of the document.
+candidate, aligned with the template inside a band around these diagonals; hits beside the
+aligned run are aligned again. Aligned parts of GRAM + WINDOW - 1 words and more whose places
+rise in the document and the template are chained, however far apart they lie, so words put in
+or left out break no match. Reported is how much of the template a chain covers, and the span
+of the document from its first to its last part.
 
 The templates are a parameter and are sent to the tasks; documents are never shuffled.
 
 Defined cases: null and empty texts hold no license; templates without a word match nothing; a
-match that lies within a longer match is not reported, of equal spans the better covered and
+match all of whose parts lie within parts of other matches is not reported, of equal parts the better covered and
 then the first by name is; repeated rows are reported each; an empty table gives no rows; other
 columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -87,32 +92,105 @@ class Index:
         diagonal = hits[:, 2] - hits[:, 3]
         new = np.ones(len(hits), bool)
         new[1:] = (hits[1:, 0] != hits[:-1, 0]) | (hits[1:, 1] != hits[:-1, 1]) | (np.abs(np.diff(diagonal)) > BAND)
-        starts = np.flatnonzero(new)
-        found: list[tuple[int, int, int, int, int]] = []
+        # A candidate's diagonals don't drift further than the template is long: beyond that another one begins.
+        begins, places, own_sizes = new.tolist(), diagonal.tolist(), [max(BAND, len(w)) for w in self.words]
+        first = 0
+        for k, template in enumerate(hits[:, 1].tolist()):
+            if begins[k] or abs(places[k] - places[first]) > own_sizes[template]:
+                begins[k], first = True, k
+        starts = np.flatnonzero(begins)
+        parts: dict[tuple[int, int], set[Part]] = {}
         for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(hits)], strict=True):
             t, template = int(hits[a, 0]), int(hits[a, 1])
             own = self.words[template]
-            low, high = int(diagonal[a:b].min()) - BAND, int(diagonal[a:b].max()) + BAND
-            begin, stop = max(int(firsts[t]), low), min(int(firsts[t + 1]), high + len(own))
-            covered, s, e = banded(own.tolist(), h[begin:stop].tolist(), low - begin, high - begin)
-            if covered >= least * len(own):
-                found.append((t, template, covered, begin + s, begin + e))
-        return outermost(sorted(set(found)), self.words)
+            waiting = [(a, b, int(firsts[t]), int(firsts[t + 1]))]
+            while waiting:
+                a, b, least_begin, most_stop = waiting.pop()
+                low, high = int(diagonal[a:b].min()) - BAND, int(diagonal[a:b].max()) + BAND
+                begin, stop = max(least_begin, low), min(most_stop, high + len(own))
+                mask, s, e = banded(own.tolist(), h[begin:stop].tolist(), low - begin, high - begin)
+                if not mask:
+                    continue
+                s, e = begin + s, begin + e
+                parts.setdefault((t, template), set()).add((s, e, mask))
+                before, after = a + int(np.searchsorted(hits[a:b, 2], s)), a + int(np.searchsorted(hits[a:b, 2], e))
+                waiting += [x for x in ((a, before, least_begin, s), (after, b, e, most_stop)) if x[0] < x[1]]
+        found = []
+        for (t, template), own_parts in parts.items():
+            found += [(t, template, covered, spans) for covered, spans in chains(own_parts, least * len(self.words[template]))]
+        return outermost(found, self.words)
+
+
+#: An aligned run: start and end in the document, and the template's matched words as bits.
+Part = tuple[int, int, int]
+
+
+def chains_to(parts: list[Part], cost: int) -> list[tuple[float, int, int, list[int]]]:
+    """Worth, covered words, bits and members of the best chain to each part.
+
+    Worth is the covered words, less `cost` times the logarithm of the words between.
+    """
+    best: list[tuple[float, int, int, list[int]]] = []  # worth, covered words, bits, members
+    for j, (s, e, mask) in enumerate(parts):
+        alone = mask.bit_count()
+        top = (float(alone), alone, mask, [j])
+        if alone >= GRAM + WINDOW - 1 and not mask & 1:  # what holds the template's first word begins a chain
+            for i in range(j):
+                s0, e0, mask0 = parts[i]
+                rising = s0 < s and e0 < e and mask0 & -mask0 < mask & -mask and mask0.bit_length() < mask.bit_length()
+                if not rising or mask0.bit_count() < GRAM + WINDOW - 1:
+                    continue
+                worth, covered, bits, members = best[i]
+                gained = (bits | mask).bit_count() - bits.bit_count() - max(0, e0 - s)
+                if gained > 0:
+                    top = max(top, (worth + gained - cost * math.log2(1 + max(0, s - e0)), covered + gained, bits | mask, [*members, j]), key=lambda x: x[:2])
+        best.append(top)
+    return best
+
+
+def chains(parts: set[Part], least: float) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Covered words and the runs of each chain that covers so many, the best first, none over the runs of one before.
+
+    Near parts go before far ones that cover little more; where these cover too little, distance counts nothing.
+    """
+    left = sorted(p for p in parts if p[2].bit_count() >= min(least, GRAM + WINDOW - 1))
+    out: list[tuple[int, list[tuple[int, int]]]] = []
+    cost = 1
+    while left:
+        taken: list[tuple[int, int]] = []
+        for _, covered, _, members in sorted(chains_to(left, cost), key=lambda x: x[:2], reverse=True):
+            runs = [left[i][:2] for i in members]
+            if covered >= least and not any(overlaps(taken, *run) for run in runs):
+                out.append((covered, runs))
+                for run in runs:
+                    insort(taken, run)
+        left = [p for p in left if not overlaps(taken, p[0], p[1])]
+        if not taken:
+            if not cost:
+                break
+            cost = 0
+    return out
+
+
+def overlaps(taken: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether a run meets one of the sorted disjoint runs."""
+    at = bisect_left(taken, (end, -1))
+    return at > 0 and taken[at - 1][1] > start
 
 
 def banded(template: list[int], text: list[int], low: int, high: int) -> tuple[int, int, int]:
     """Best local alignment with text place - template place between low and high.
 
-    Gives the matched words, and the start and end of the aligned run of the text.
+    Gives the template's matched words as bits, and the start and end of the aligned run of the text.
     """
-    best = (0, 0, 0, 0)
-    above: dict[int, tuple[int, int, int]] = {}  # place in the text after the last word: score, matched, start
+    best = (0, 0, 0, 0, 0)
+    above: dict[int, tuple[int, int, int, int]] = {}  # place in the text after the last word: score, matched, start, bits
     for i, word in enumerate(template):
-        row: dict[int, tuple[int, int, int]] = {}
+        row: dict[int, tuple[int, int, int, int]] = {}
         for j in range(max(0, i + low), min(len(text), i + high + 1)):
-            score, matched, start = above.get(j, (0, 0, j))
+            score, matched, start, bits = above.get(j, (0, 0, j, 0))
             same = word == text[j]
-            options = [(score + (MATCH if same else MISMATCH), matched + same, start)]
+            options = [(score + (MATCH if same else MISMATCH), matched + same, start, bits | same << i)]
             if j + 1 in above:  # the template's word is left out
                 options.append((above[j + 1][0] + GAP, *above[j + 1][1:]))
             if j in row:  # the text's word is left out
@@ -121,21 +199,23 @@ def banded(template: list[int], text: list[int], low: int, high: int) -> tuple[i
             if top[0] > 0:
                 row[j + 1] = top
                 if (top[0], top[1]) > best[:2]:
-                    best = (top[0], top[1], top[2], j + 1)
+                    best = (top[0], top[1], top[2], j + 1, top[3])
         above = row
-    return best[1], best[2], best[3]
-
-
-def outermost(found: list[tuple[int, int, int, int, int]], templates: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
-    """Without matches that lie within another: one scan over each text's matches, longest first at each start."""
-    out, text, reach = [], -1, -1
-    for m in sorted(found, key=lambda m: (m[0], m[3], -m[4], -m[2] / len(templates[m[1]]), m[1])):
-        if m[0] != text:
-            text, reach = m[0], -1
-        if m[4] > reach:
-            out.append(m)
-            reach = m[4]
-    return out
+    return best[4], best[2], best[3]
+
+
+def outermost(found: list[tuple[int, int, int, list[tuple[int, int]]]], templates: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
+    """Without matches whose parts all lie within others' parts: one scan over each text's parts, longest first at each start."""
+    parts = [(t, s, -e, -covered / len(templates[template]), template, k) for k, (t, template, covered, spans) in enumerate(found) for s, e in spans]
+    kept, text, reach = set(), -1, -1
+    for t, _, end, *_, k in sorted(parts):
+        if t != text:
+            text, reach = t, -1
+        if -end > reach:
+            kept.add(k)
+            reach = -end
+    chosen = [found[k] for k in kept]
+    return sorted(((t, template, covered, spans[0][0], spans[-1][1]) for t, template, covered, spans in chosen), key=lambda m: (m[0], m[3], -m[4], m[1]))
 
 
 _TYPE = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), ("matched_words", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
