@@ -173,6 +173,38 @@ def test_novel_strings_in_sensitive_places():
     assert not secrets.novel_spans("nothing here Zk3vQ9xLw2Rt8Yp1Mn5B", [], novelty)
 
 
+def test_long_random_strings_are_novel():
+    rng = np.random.default_rng(6)
+    novelty = secrets.Novelty(b"the of and value number setting default")
+    code = "def setting(value, number):\n    return default of the value\n" * 5
+    for alphabet in ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/"):
+        for n in (64, 128, 256, 1024, 8192):
+            for _ in range(10):
+                secret = "".join(alphabet[int(x)] for x in rng.integers(0, len(alphabet), n))
+                text = f"{code}bearer {secret} {code}"
+                assert [text[s:e] for s, _, e in secrets.novel_spans(text, [], novelty)] == [secret], (len(alphabet), n)
+    words = " of-the-value-and-number-of-settings-that-are-the-default-" * 3
+    assert not secrets.novel_spans(f"{code}bearer {words.replace(' ', '')} {code}", [], novelty)
+
+
+def test_adjoining_lines_and_partly_covered_strings_are_novel():
+    rng = np.random.default_rng(7)
+    novelty = secrets.Novelty(b"the of and value number setting default")
+    alphabet = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/"
+    lines = ["".join(alphabet[int(x)] for x in rng.integers(0, 64, n)) for n in (64, 64, 64, 64, 64, 10)]
+    text = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----\n"
+    got = [text[s:e] for s, _, e in secrets.novel_spans(text, [], novelty)]
+    assert len(got) == 1 and "\n".join(lines) in got[0]
+    mixed = "token\n" + lines[0] + "\n" + "\n".join(["the.default.value.of.the.number"] * 9) + "\n"
+    assert [mixed[s:e] for s, _, e in secrets.novel_spans(mixed, [], novelty)][0].startswith(lines[0])
+    secret = lines[0] + "0123456789abcdef01234567" + lines[1]
+    text = f"the bearer {secret} of"
+    base = secrets.base_spans(text)
+    assert [secrets.KINDS[k] for _, k, _ in base] == ["hex"] and [text[s:e] for s, _, e in secrets.novel_spans(text, base, novelty)] == [secret]
+    text = f"password={lines[0]} of"
+    assert not secrets.novel_spans(text, secrets.base_spans(text), novelty)
+
+
 def test_dictionary_does_not_depend_on_partitions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert secrets.dictionary(docs, 0.002) == secrets.dictionary(docs.repartition(9), 0.002) != b""

@@ -4,8 +4,10 @@ Three patterns give the base spans. Beside them, strings of `LEAST_LENGTH` and m
 that follow a sensitive word within `REACH` characters are measured: the bytes by which the
 string makes its surroundings longer under zstandard, primed with a dictionary of the
 identifiers that are frequent in the whole corpus. A string of which at least `LEAST_BYTES`
-bytes and `LEAST_RATIO` bytes a character are new is reported as `novel`, unless it lies in
-base spans.
+bytes are new is reported as `novel`, if these are `LEAST_RATIO` bytes a character or `SURPLUS`
+bytes more than random characters of its own alphabet need, and it does not lie wholly in base
+spans. Lines that consist of one string and adjoin such a string, as in a key file, belong to
+the sensitive place: they are measured together with it, and each by itself if that fails.
 
 The dictionary holds every identifier with at least `SHARE` of all identifiers of the corpus,
 at most 1 / SHARE of them: Misra-Gries summaries name candidates, a second pass counts them.
@@ -17,7 +19,9 @@ are not looked at.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,7 +43,8 @@ ASSIGN_LENGTH = 6
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|pwd|secret|token|credential|bearer|signature|(?:api|private|access|auth|signing|encryption)[_ .-]?key", re.I | re.A)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]+")
 REACH, AROUND = 64, 256
-LEAST_LENGTH, LEAST_BYTES, LEAST_RATIO = 16, 12, 0.8
+LEAST_LENGTH, LEAST_BYTES, LEAST_RATIO, SURPLUS = 16, 12, 0.8, 8
+FOLLOWING = re.compile(r"""["',+\\\x20\t]*(?:\r\n|\n|\r)["'\x20\t]*([A-Za-z0-9+/_.=-]+)(?=["',;+\\\x20\t]*(?:[\r\n]|\Z))""", re.A)
 SHARE, LEVEL = 1e-4, 3
 
 
@@ -66,20 +71,39 @@ class Novelty:
         return len(self.compressor.compress(before + text[start:end].encode() + after)) - len(self.compressor.compress(before + after))
 
 
+def is_novel(text: str, start: int, end: int, novelty: Novelty) -> bool:
+    size, new = end - start, novelty.bytes_of(text, start, end)
+    bound = size * math.log2(len(set(text[start:end]))) / 8 + SURPLUS
+    return new >= LEAST_BYTES and new >= min(LEAST_RATIO * size, bound)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
+    covered: list[tuple[int, int]] = []  # the base spans put together
+    for s, _, e in base:
+        if covered and s <= covered[-1][1]:
+            covered[-1] = (covered[-1][0], max(e, covered[-1][1]))
+        else:
+            covered.append((s, e))
+
+    def measured(start: int, end: int) -> bool:
+        at = bisect_right(covered, (start, len(text)))
+        inside = at > 0 and end <= covered[at - 1][1]
+        return end - start >= LEAST_LENGTH and not inside and is_novel(text, start, end, novelty)
+
     found, seen = [], -1
     for m in SENSITIVE.finditer(text):
         for c in CANDIDATE.finditer(text, m.end(), min(len(text), m.end() + REACH)):
             start = c.start()
-            if start <= seen:
-                continue
-            end = CANDIDATE.match(text, start).end()  # a string that goes on beyond the reach counts whole
-            seen = start
-            if end - start < LEAST_LENGTH or any(s < end and start < e for s, _, e in base):
+            if start <= seen or (found and start < found[-1][2]):
                 continue
-            new = novelty.bytes_of(text, start, end)
-            if new >= LEAST_BYTES and new >= LEAST_RATIO * (end - start):
-                found.append((start, 3, end))
+            lines = [(start, CANDIDATE.match(text, start).end())]  # a string that goes on beyond the reach counts whole
+            while lines[-1][1] - lines[-1][0] >= LEAST_LENGTH and (following := FOLLOWING.match(text, lines[-1][1])):
+                lines.append(following.span(1))
+            seen = lines[-1][0]
+            if len(lines) > 1 and measured(start, lines[-1][1]):
+                found.append((start, 3, lines[-1][1]))
+            else:
+                found += [(s, 3, e) for s, e in lines if measured(s, e)]
     return found
 
 
