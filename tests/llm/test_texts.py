@@ -110,6 +110,14 @@ def test_language_odd_rows(odd, none):
         assert langid.predict(none, model).count() == 0
 
 
+def test_signs_beyond_the_first_plane_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} of words", "en") for i in range(40)], "doc_id long, text string, lang string")
+    odd = spark.createDataFrame([(1, "\U0001f389\U0001f389", "en"), (2, "\U0001f600 \U0001d7d8", None), (3, "\U00020000", None)], docs.schema)
+    rows = {r["doc_id"]: r for r in langid.predict(odd, langid.fit(docs)).collect()}
+    assert [(rows[i]["lang_pred"], rows[i]["score"]) for i in (1, 2)] == [("und", 0.0)] * 2 and rows[3]["lang_pred"] == "en"
+    assert langid.runs(["a\U0001f389b"])[0].tolist() == langid.runs(["a b"])[0].tolist()
+
+
 def stripped(rows):
     """Brute force over (doc_id, text)."""
     seen, out = set(), {}

@@ -47,8 +47,8 @@ class Model:
 
 @cache
 def _letters() -> np.ndarray:
-    """True for the code points of the first plane that are letters."""
-    return np.array([chr(i).isalpha() for i in range(1 << 16)])
+    """True for the code points that are letters."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 def runs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,7 +56,7 @@ def runs(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat = [f" {(t or '').lower()} " for t in texts]
     codes = np.frombuffer("".join(flat).encode("utf-32-le", "surrogatepass"), np.uint32)
     text = np.repeat(np.arange(len(flat)), np.fromiter(map(len, flat), np.int64, len(flat)))
-    letter = np.where(codes < 1 << 16, _letters()[np.minimum(codes, (1 << 16) - 1)], True)
+    letter = _letters()[codes]
     lettered = np.zeros(len(flat), bool)
     lettered[text[letter]] = True
     keep = np.ones(len(codes), bool)
