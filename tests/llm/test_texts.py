@@ -182,6 +182,19 @@ def test_quotes_are_linked(spark):
     assert got[1, 3]["body"] == "good" and got[1, 3]["levels"] == 2
 
 
+def test_nested_quotes_are_linked(spark):
+    rows = [
+        (1, 1, "u", "the first words"), (1, 2, "a", "an answer"), (1, 3, "u", "something else"),
+        (1, 4, "a", ">> the first words\nonly nested"), (1, 5, "u", "> nobody said this\n>> an answer\n>>> the first words\nunknown above"),
+        (1, 6, "a", "> something else\n>> the first words\nboth"), (2, 1, "u", ">>> something else\nelsewhere"),
+    ]
+    got = {(r["conv_id"], r["turn"]): r for r in quotes.link(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).collect()}
+    reply = {k: (r["reply_conv"], r["reply_turn"]) for k, r in got.items()}
+    assert reply == {(1, 1): (None, None), (1, 2): (1, 1), (1, 3): (1, 2), (1, 4): (1, 1), (1, 5): (1, 2), (1, 6): (1, 3), (2, 1): (1, 3)}
+    originals = {k: [tuple(x) for x in r["originals"]] for k, r in got.items()}
+    assert originals == {(1, 1): [], (1, 2): [], (1, 3): [], (1, 4): [(2, 1, 1)], (1, 5): [(2, 1, 2), (3, 1, 1)], (1, 6): [(1, 1, 3), (2, 1, 1)], (2, 1): [(3, 1, 3)]}
+
+
 def test_latest_before_over_slices(spark):
     rng = np.random.default_rng(4)
     held = [(int(c), int(k), int(t), int(t)) for c, k, t in zip(rng.integers(0, 3, 80), rng.integers(0, 3, 80), rng.integers(0, 50, 80), strict=True)]

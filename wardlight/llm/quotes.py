@@ -4,9 +4,10 @@ Lines that begin with `>` are quoted, as deeply as they have such marks; a line
 wrote:" right before them belongs to them. Paragraphs and lines, quoted or not, are normalised
 (case, white space) and hashed. A quoted passage is joined to the latest earlier message of its
 conversation that holds it unquoted, else to the first message of an earlier conversation that
-does. A message answers the message most of whose characters it quotes at the first level, of
-equal ones the latest; without a found quote it answers the message before it. Threads follow
-the answers up to their first message by pointer doubling.
+does, at whatever level. A message answers the message most of whose characters it quotes at the
+first level, of equal ones the latest; without a found quote there the next deeper level decides,
+and without any it answers the message before it. Threads follow the answers up to their first
+message by pointer doubling.
 
 Passages of a key are never paired with each other: each asks for one message, by a running
 maximum over slices of `CHUNK` turns and over the slices, so a frequent line or a very long
@@ -106,20 +107,24 @@ def latest_before(held: DataFrame, asked: DataFrame, chunk: int = CHUNK) -> Data
 
 
 def _answers(all_messages: DataFrame) -> DataFrame:
-    """conv, turn, mark and the message it answers (up), null if there is none."""
+    """conv, turn, mark, the message it answers (up, null if there is none) and the originals of its quotes by level."""
     placed = all_messages.filter("conv IS NOT NULL AND turn IS NOT NULL")
     parts = placed.select("conv", "turn", "mark", F.explode("parts").alias("part")).select("conv", "turn", "mark", "part.*")
     held = parts.filter("level = 0").select("conv", "key", "turn", "mark")
-    asked = parts.filter("level = 1").select("conv", "turn", "mark", "key", "size")
-    near = asked.join(latest_before(held, asked), ["conv", "key", "turn"], "left")
+    asked = parts.filter("level > 0").select("conv", "turn", "mark", "key", "level", "size")
+    near = asked.join(latest_before(held, asked.select("conv", "key", "turn")), ["conv", "key", "turn"], "left")
     first = held.groupBy("key").agg(F.min(F.struct("conv", "turn", "mark")).alias("first"))
     far = near.filter("source IS NULL").join(first, "key").filter("first.conv < conv").withColumn("source", F.col("first")).drop("first")
     quoted = near.filter("source IS NOT NULL").unionByName(far)
-    votes = quoted.groupBy("conv", "turn", "mark", "source").agg(F.sum("size").alias("size"))
-    best = votes.groupBy("conv", "turn", "mark").agg(F.max(F.struct("size", "source")).getField("source").alias("quoted"))
+    votes = quoted.groupBy("conv", "turn", "mark", "level", "source").agg(F.sum("size").alias("size"))
+    original = F.struct("level", F.col("source.conv").alias("conv_id"), F.col("source.turn").alias("turn"))
+    best = votes.groupBy("conv", "turn", "mark").agg(
+        F.max(F.struct((-F.col("level")).alias("nearest"), "size", "source")).getField("source").alias("quoted"),
+        F.array_sort(F.collect_set(original)).alias("originals"),
+    )
     turns = placed.select("conv", F.lit(0).cast("bigint").alias("key"), "turn", "mark")
     previous = latest_before(turns, turns).select("conv", "turn", F.col("source").alias("previous"))
-    return placed.select("conv", "turn", "mark").join(best, ["conv", "turn", "mark"], "left").join(previous, ["conv", "turn"], "left").select("conv", "turn", "mark", F.coalesce("quoted", "previous").alias("up"))
+    return placed.select("conv", "turn", "mark").join(best, ["conv", "turn", "mark"], "left").join(previous, ["conv", "turn"], "left").select("conv", "turn", "mark", F.coalesce("quoted", "previous").alias("up"), "originals")
 
 
 def threads(answers: DataFrame) -> DataFrame:
@@ -136,7 +141,8 @@ def link(rows: DataFrame) -> DataFrame:
     """One row per message, in reply order: thread by thread, answers after what they answer.
 
     conv_id, turn, role, reply_conv, reply_turn, thread_conv, thread_turn, depth, n_quoted
-    (quoted passages), levels (deepest quote), body (without quotes).
+    (quoted passages), levels (deepest quote), body (without quotes), originals (level, conv_id
+    and turn of every message that holds a quoted passage of that level).
     """
     every = cut_lineage(messages(rows))
     answers = cut_lineage(_answers(every))
@@ -157,4 +163,5 @@ def link(rows: DataFrame) -> DataFrame:
         F.size(F.filter("parts", lambda p: p["level"] > 0)).alias("n_quoted"),
         F.coalesce(F.array_max(F.transform("parts", lambda p: p["level"])), F.lit(0)).alias("levels"),
         "body",
+        F.coalesce("originals", F.array().cast("array<struct<level:int,conv_id:bigint,turn:bigint>>")).alias("originals"),
     ).orderBy("thread_conv", "thread_turn", "depth", "conv_id", "turn")
