@@ -118,6 +118,16 @@ def test_signs_beyond_the_first_plane_are_no_letters(spark):
     assert langid.runs(["a\U0001f389b"])[0].tolist() == langid.runs(["a b"])[0].tolist()
 
 
+def test_every_language_is_a_class(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    said = {"en": "the cat and the dog", "de": "der Hund und die Katze", "fr": "le chien avec une souris", "fi": "kissa ja koira talossa"}
+    rows = [(i * 10 + k, f"{text} {text}", lang) for i in range(60) for k, (lang, text) in enumerate(said.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == sorted(said)
+    assert langid.predict(docs, model).join(docs, "doc_id").filter("lang != lang_pred").count() == 0
+
+
 def stripped(rows):
     """Brute force over (doc_id, text)."""
     seen, out = set(), {}

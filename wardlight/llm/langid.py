@@ -4,7 +4,7 @@ Features are hashed runs of one to three characters of the lower-cased text, in
 is no letter is one space; a feature's value is its share of the text's runs times its inverse
 document frequency, counted over all documents that may be learned from. Weights are learned by
 follow-the-regularised-leader with an elastic-net penalty on at most about `PER_LANGUAGE`
-documents of each language, in `SHARDS` shards that Spark trains side by side and averages. A
+documents of each language (fewer each beyond `LANGUAGES` languages, all of which are kept), in `SHARDS` shards that Spark trains side by side and averages. A
 temperature, fitted on labelled documents that the weights never saw, calibrates the shares.
 
 Defined cases: a null text and a text without a letter are `und` with score 0; so is every text
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from wardlight.llm.common import held_out, id_and_text, pieces, text_key, text_of
 
-#: Bounds on what is fitted: labelled documents of a language, and languages (the most frequent).
+#: Bounds on what is fitted: labelled documents of a language, for up to so many languages; more share the same total.
 PER_LANGUAGE, LANGUAGES = 5_000, 200
 BITS, ORDERS, SHARDS, ROUNDS = 16, (1, 2, 3), 4, 3
 ALPHA, BETA, L1, L2, SCALE = 0.5, 1.0, 1e-4, 1e-4, 30.0
@@ -211,7 +211,7 @@ def temperature(logits: np.ndarray, truth: np.ndarray) -> float:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """What comes to the driver: one row per bucket and language, and the logits of the calibration texts."""
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    sizes = {r["lang"]: r["count"] for r in own.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()}
+    sizes = {r["lang"]: r["count"] for r in own.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((_BUCKETS, 0), np.float32), np.zeros(0))
@@ -221,7 +221,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     df[list(counted)] = list(counted.values())
     idf = np.log((1 + texts) / (1 + df)) + 1
     order = F.xxhash64("doc_id", "text")
-    limit = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, per_language / n) * (1 << 20)))])
+    per_language = min(per_language, per_language * LANGUAGES / len(languages))
+    limit = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, max(1, int(min(1.0, per_language / n) * (1 << 20))))])
     chosen = own.withColumn("order", order).filter(F.pmod(F.xxhash64(F.lit("sample"), "order"), F.lit(1 << 20)) < F.element_at(limit, F.col("lang")))
     # One in four of the chosen is kept from the weights for the temperature.
     chosen = chosen.withColumn("part", F.when(F.crc32(F.col("doc_id").cast("string")) % 4 == 3, -1).otherwise(F.pmod("order", F.lit(SHARDS))).cast("int"))
