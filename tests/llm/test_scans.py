@@ -246,6 +246,13 @@ def test_license_with_words_left_out_or_put_in(spark):
             assert texts[r["doc_id"]][r["start"] : r["end"]].startswith("Permission") and texts[r["doc_id"]][: r["end"]].endswith("THE SOFTWARE")
 
 
+def test_bsd_and_isc_are_told_apart(spark):
+    texts = {name: licenses.TEMPLATES[name] for name in ("isc", "isc-permission", "bsd-redistribution", "bsd-2-clause", "bsd-3-clause")}
+    docs = spark.createDataFrame([(i, f"Some words. {text} More.") for i, text in enumerate(texts.values())], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["license"], r["coverage"]) for r in licenses.find_licenses(docs).collect())
+    assert got == [(i, name, 1.0) for i, name in enumerate(texts)]
+
+
 def test_winnowing_keeps_one_of_every_window():
     grams = np.random.default_rng(0).integers(0, 50, 200).astype(np.uint64)
     kept = set(licenses.winnowed(grams).tolist())
