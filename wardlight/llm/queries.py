@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import decontaminate, exact_dedup, langid, licenses, quotes, repeated_phrases, secrets, sentencepiece_codec, simhash, toxicity
+from wardlight.llm import collocations, decontaminate, exact_dedup, langid, licenses, quotes, repeated_phrases, secrets, sentencepiece_codec, simhash, toxicity
 from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
@@ -101,3 +101,36 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE["op11_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_CAPITALS}), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words)) AS n FROM split GROUP BY lang),
+places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM split),
+grams AS (SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase FROM places, range(1, 6) s(k) WHERE i + k - 1 <= len(words)),
+f AS (SELECT lang, phrase, k AS size, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, phrase, size, a, string_split(phrase, ' ') AS words FROM f WHERE size >= 2),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, n, (1000::HUGEINT * c.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM candidates c JOIN range(1, 5) s(k) ON k < c.size
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(words[1 : k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(words[k + 1 : c.size], ' ')
+  JOIN totals t ON t.lang = c.lang),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_runs AS (
+  SELECT lang, array_to_string(words[i : i + k - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, range(2, 5) s(k), range(1, 5) p(i) WHERE k < size AND i + k - 1 <= size GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM scored s LEFT JOIN inner_runs i ON i.lang = s.lang AND i.phrase = s.phrase
+WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
