@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +71,19 @@ def phrase_words(langs: pa.Array, texts: pa.Array) -> tuple[np.ndarray, ...]:
     return data, text, starts, ends, piece, h
 
 
+class Steps:
+    """The table, packed on its way to the tasks: most slots are alike."""
+
+    def __init__(self, value: np.ndarray):
+        self.value = value
+
+    def __getstate__(self) -> bytes:
+        return zstandard.compress(self.value.tobytes())
+
+    def __setstate__(self, packed: bytes) -> None:
+        self.value = np.frombuffer(zstandard.decompress(packed), np.uint8)
+
+
 def slots(h: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (h & U(len(table) - 1)).astype(np.int64)
 
@@ -131,7 +145,7 @@ def _count(table, step: int, shards: int, longest: int) -> Callable[[Iterator[pa
         for batch in batches:
             for part in pieces(batch):
                 *_, piece, h = phrase_words(part.column("lang"), part.column("text"))
-                for _, _, g, began in phrases(h, piece, table.value, longest):
+                for _, _, g, began in phrases(h, piece, table.value.value, longest):
                     raw.append(g[(began <= step) & (began > step - shards)])
                 if sum(map(len, raw)) > HELD:
                     fold()
@@ -162,8 +176,8 @@ def _name(table, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 data, text, starts, ends, piece, h = phrase_words(part.column("lang"), part.column("text"))
                 for t, n in enumerate(np.bincount(text, minlength=len(langs)).tolist()):
                     total[langs[t]] += n
-                for n, at, g, _ in phrases(h, piece, table.value, longest):
-                    kept = np.flatnonzero(table.value[slots(g, table.value)] != NEVER)
+                for n, at, g, _ in phrases(h, piece, table.value.value, longest):
+                    kept = np.flatnonzero(table.value.value[slots(g, table.value.value)] != NEVER)
                     unique, first, count = np.unique(g[kept], return_index=True, return_counts=True)
                     at = at[kept][first]
                     for key, a, c in zip(unique.tolist(), at.tolist(), count.tolist(), strict=True):
@@ -203,7 +217,7 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards
     while step <= last + shards:
         if step >= NEVER:
             raise ValueError(f"{shards} shards need more scans than the table can tell apart")
-        shared = spark.sparkContext.broadcast(table)
+        shared = spark.sparkContext.broadcast(Steps(table))
         rows = corpus.filter(F.col("shard") == step % shards).select("lang", "text")
         rows.mapInArrow(_count(shared, step, shards, longest), "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).write.parquet(f"{base}/counts/{step:03d}")
         shared.unpersist()
@@ -213,7 +227,7 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards
             table = np.where(new, np.uint8(step), table)
             last = step
         step += 1
-    named = corpus.select("lang", "text").mapInArrow(_name(spark.sparkContext.broadcast(table), longest), "lang string, phrase binary, size int, c bigint")
+    named = corpus.select("lang", "text").mapInArrow(_name(spark.sparkContext.broadcast(Steps(table)), longest), "lang string, phrase binary, size int, c bigint")
     summed = named.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "size").agg(F.sum("c").alias("c"))
     summed.filter((F.col("c") >= least) | (F.col("size") == 0)).write.parquet(f"{base}/frequent")
     return spark.read.parquet(f"{base}/frequent")
