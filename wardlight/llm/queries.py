@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import collocations, decontaminate, exact_dedup, langid, licenses, quotes, repeated_phrases, secrets, sentencepiece_codec, simhash, toxicity
+from wardlight.llm import collocations, decontaminate, exact_dedup, langid, lexical_search, licenses, quotes, repeated_phrases, secrets, sentencepiece_codec, simhash, toxicity
 from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
@@ -134,3 +134,26 @@ FROM scored s LEFT JOIN inner_runs i ON i.lang = s.lang AND i.phrase = s.phrase
 WHERE longer IS NULL OR 100 * longer < 100 * a
 QUALIFY rank <= 2000
 """
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), {_CAPITALS}) AS text FROM documents),
+items AS (SELECT row_number() OVER () AS item, item_id, text FROM (SELECT DISTINCT item_id, translate(coalesce(text, ''), {_CAPITALS}) AS text FROM benchmark)),
+terms AS (SELECT row, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+asked AS (SELECT item, item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items),
+lengths AS (SELECT row, count(*) AS n FROM terms GROUP BY row),
+whole AS (SELECT count(*) AS docs_n, sum(n)::BIGINT AS terms_n FROM lengths),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * docs_n + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY term, docs_n),
+gains AS (
+  SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs_n) // terms_n))) AS gain
+  FROM tf JOIN lengths USING (row) JOIN weights USING (term), whole),
+scores AS (SELECT item, item_id, row, doc_id, sum(gain)::BIGINT AS score FROM asked JOIN gains USING (term) GROUP BY ALL HAVING sum(gain) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scores QUALIFY rank <= 20
+"""
