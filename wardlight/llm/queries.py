@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import collocations, decontaminate, exact_dedup, langid, lexical_search, licenses, quotes, repeated_phrases, secrets, sentencepiece_codec, simhash, toxicity
+from wardlight.llm import collocations, decontaminate, exact_dedup, langid, lexical_search, licenses, quotes, repeated_phrases, secrets, sentencepiece_codec, simhash, suffix_dedup, toxicity
 from wardlight.llm.common import held_out, table, text_of
 from wardlight.session import settle
 
@@ -157,3 +157,9 @@ scores AS (SELECT item, item_id, row, doc_id, sum(gain)::BIGINT AS score FROM as
 SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
 FROM scores QUALIFY rank <= 20
 """
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = suffix_dedup.strip_repeats(table(spark, sf_dir, "documents"))
+    return stripped.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
