@@ -9,8 +9,9 @@ left in its cycle.
 When a phrase has reached the threshold is kept in a table of `TABLE_BITS`, one byte a slot, that
 every task reads: its size is fixed, whatever the corpus holds. Phrases that share a slot are
 counted earlier or for nothing; never later or in fewer shards, since a slot that is set stays as
-it is. The scans count 64-bit hashes. A last pass over the corpus counts what reached the
-threshold under its text, and these counts are the result.
+it is. The scans count 64-bit hashes of language and phrase, so two phrases in 10^8 share one with
+odds below 1 in 3,000. A last scan looks up the text of each hash at a few of its places; what it
+misses is looked for in a second scan at all places.
 
 Defined cases: a null text has no words; a null lang is `und`; empty pieces and texts give
 nothing; repeated rows count as often as they are met; phrases never cross a piece, a document or
@@ -33,10 +34,12 @@ from pyspark.sql import functions as F
 
 from wardlight.llm import words
 from wardlight.llm.common import byte_view, pieces, text_of
-from wardlight.session import shared_dir
+from wardlight.session import cut_lineage, shared_dir
 
 LONGEST, LEAST, COVER, TOP = 5, 100, 100, 2000
 SHARDS, TABLE_BITS = 3, 24
+#: Places, or up to twice as many, from which a phrase is named, whatever its count.
+SIGHTINGS = 8
 #: Hashes, and different phrases, that a task holds.
 HELD, HELD_TEXTS = 4 << 20, 200_000
 NEVER = 255
@@ -157,35 +160,38 @@ def _count(table, step: int, shards: int, longest: int) -> Callable[[Iterator[pa
 
 
 def _name(table, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Counts of phrases that reached the threshold, by text; and, with a null phrase, of all words of a language."""
+    """Texts of phrases, each from a few of its places; and, with a null phrase, the number of words of a language.
+
+    A slot of the table holds by how many halvings the places of its phrases are thinned out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, list] = {}
+        found: dict[int, tuple] = {}
         total: Counter[str] = Counter()
 
         def given() -> pa.RecordBatch:
-            rows = [(*x,) for x in found.values()] + [(lang, None, 0, n) for lang, n in total.items()]
+            rows = [(h, *x) for h, x in found.items()] + [(None, lang, None, n) for lang, n in total.items()]
             found.clear()
             total.clear()
-            lang, phrase, size, c = zip(*rows, strict=True) if rows else ((),) * 4
-            return pa.record_batch([pa.array(lang, pa.string()), pa.array(phrase, pa.binary()), pa.array(size, pa.int32()), pa.array(c, pa.int64())], names=["lang", "phrase", "size", "c"])
+            h, lang, phrase, n = zip(*rows, strict=True) if rows else ((),) * 4
+            return pa.record_batch([pa.array(np.array(h[: len(h) - h.count(None)], U).view(np.int64).tolist() + [None] * h.count(None), pa.int64()), pa.array(lang, pa.string()), pa.array(phrase, pa.binary()), pa.array(n, pa.int64())], names=["h", "lang", "phrase", "n"])
 
         for batch in batches:
             for part in pieces(batch):
-                langs = part.column("lang").to_pylist()
+                langs, thin = part.column("lang").to_pylist(), table.value.value
                 data, text, starts, ends, piece, h = phrase_words(part.column("lang"), part.column("text"))
                 for t, n in enumerate(np.bincount(text, minlength=len(langs)).tolist()):
                     total[langs[t]] += n
-                for n, at, g, _ in phrases(h, piece, table.value.value, longest):
-                    kept = np.flatnonzero(table.value.value[slots(g, table.value.value)] != NEVER)
-                    unique, first, count = np.unique(g[kept], return_index=True, return_counts=True)
-                    at = at[kept][first]
-                    for key, a, c in zip(unique.tolist(), at.tolist(), count.tolist(), strict=True):
-                        if key in found:
-                            found[key][3] += c
-                        else:
+                draw = words.mix(np.arange(len(h), dtype=U) + U(xxhash.xxh64_intdigest(data[: 1 << 16].tobytes())))
+                for n, at, g, _ in phrases(h, piece, thin, longest):
+                    halvings = thin[slots(g, thin)]
+                    kept = np.flatnonzero(halvings != NEVER)
+                    kept = kept[words.mix(g[kept] ^ draw[at[kept]]) & ((U(1) << halvings[kept].astype(U)) - U(1)) == 0]
+                    unique, first = np.unique(g[kept], return_index=True)
+                    for key, a in zip(unique.tolist(), at[kept][first].tolist(), strict=True):
+                        if key not in found:
                             own = data[starts[a] : ends[a + n - 1]].tobytes()
-                            found[key] = [langs[text[a]], b" ".join(own.split()) if n > 1 else own, n, c]
+                            found[key] = (langs[text[a]], b" ".join(own.split()) if n > 1 else own, n)
                 if len(found) > HELD_TEXTS:
                     yield given()
         yield given()
@@ -193,18 +199,15 @@ def _name(table, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     return run
 
 
-def _reached(counts: DataFrame, least: int, bits: int) -> np.ndarray:
-    """Slots of the hashes with enough occurrences: at most 2^bits bits reach the driver."""
+def _bitmap(rows: DataFrame, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """From rows (level, h) the slots of the hashes of each level, in parts: at most 2^bits bits a level reach the driver."""
     slot = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
-    enough = counts.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least).select(slot.alias("slot"))
-    packed = enough.groupBy(F.shiftright("slot", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(_BITMAP - 1))).alias("bits"))
-    out = np.zeros(max(1 << bits, _BITMAP), bool)
-    for row in packed.collect():
-        out[row["block"] * _BITMAP : (row["block"] + 1) * _BITMAP] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
-    return out[: 1 << bits]
+    packed = rows.select("level", slot.alias("slot")).groupBy("level", F.shiftright("slot", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(_BITMAP - 1))).alias("bits"))
+    for row in packed.orderBy("level").toLocalIterator():
+        yield row["level"], row["block"] * _BITMAP + np.flatnonzero(np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little"))
 
 
-def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = TABLE_BITS) -> DataFrame:
+def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = TABLE_BITS, sightings: int = SIGHTINGS) -> DataFrame:
     """lang, phrase, size, c: every phrase of up to `longest` words with at least `least` occurrences,
     and for each language a row with a null phrase and size 0 that counts all its words."""
     spark = docs.sparkSession
@@ -212,25 +215,41 @@ def frequent(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards
     dealt = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().alias("text"), F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"))
     dealt.write.option("compression", "zstd").partitionBy("shard").parquet(f"{base}/corpus")
     corpus = spark.read.schema("lang string, text string, shard long").parquet(f"{base}/corpus")
+    counted = "h long, c long"
     table = np.full(1 << bits, NEVER, np.uint8)
     step, last = 0, -1  # the last step after which a phrase reached the threshold
     while step <= last + shards:
         if step >= NEVER:
             raise ValueError(f"{shards} shards need more scans than the table can tell apart")
-        shared = spark.sparkContext.broadcast(Steps(table))
+        shared = spark.sparkContext.broadcast(Steps(table.copy()))
         rows = corpus.filter(F.col("shard") == step % shards).select("lang", "text")
-        rows.mapInArrow(_count(shared, step, shards, longest), "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).write.parquet(f"{base}/counts/{step:03d}")
+        rows.mapInArrow(_count(shared, step, shards, longest), counted).groupBy("h").agg(F.sum("c").alias("c")).write.parquet(f"{base}/counts/{step:03d}")
         shared.unpersist()
-        counts = spark.read.schema("h long, c long").parquet(*[f"{base}/counts/{s:03d}" for s in range(max(0, step - shards + 1), step + 1)])
-        new = _reached(counts, least, bits) & (table == NEVER)
-        if new.any():
-            table = np.where(new, np.uint8(step), table)
-            last = step
+        # A cycle is as long as this window, so the last sum of a phrase that reaches the threshold is its count.
+        cycle = spark.read.schema(counted).parquet(*[f"{base}/counts/{s:03d}" for s in range(max(0, step - shards + 1), step + 1)])
+        cycle.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least).write.parquet(f"{base}/reached/{step:03d}")
+        for _, slot in _bitmap(spark.read.schema(counted).parquet(f"{base}/reached/{step:03d}").select(F.lit(0).alias("level"), "h"), bits):
+            new = slot[table[slot] == NEVER]
+            table[new] = step
+            last = step if len(new) else last
         step += 1
-    named = corpus.select("lang", "text").mapInArrow(_name(spark.sparkContext.broadcast(Steps(table)), longest), "lang string, phrase binary, size int, c bigint")
-    summed = named.groupBy("lang", F.col("phrase").cast("string").alias("phrase"), "size").agg(F.sum("c").alias("c"))
-    summed.filter((F.col("c") >= least) | (F.col("size") == 0)).write.parquet(f"{base}/frequent")
-    return spark.read.parquet(f"{base}/frequent")
+    counts = cut_lineage(spark.read.schema(counted).parquet(*[f"{base}/reached/{s:03d}" for s in range(step)]).groupBy("h").agg(F.max("c").alias("c")))
+    names = None
+    unnamed = counts.select(F.greatest(F.floor(F.log2(F.col("c") / sightings)), F.lit(0)).cast("int").alias("level"), "h")
+    while names is None or not unnamed.isEmpty():
+        thin = np.full(1 << bits, NEVER, np.uint8)
+        for level, slot in _bitmap(unnamed, bits):  # in rising order: phrases that share a slot are thinned as the rarer
+            thin[slot[thin[slot] == NEVER]] = level
+        if names is not None:  # longer phrases are found by way of their parts
+            thin[(table != NEVER) & (thin == NEVER)] = NEVER - 1
+        found = corpus.select("lang", "text").mapInArrow(_name(spark.sparkContext.broadcast(Steps(thin)), longest), "h bigint, lang string, phrase binary, n bigint")
+        own = cut_lineage(found.groupBy("h", F.when(F.col("h").isNull(), F.col("lang")).alias("whole")).agg(F.min("lang").alias("lang"), F.min(F.col("phrase").cast("string")).alias("phrase"), F.sum("n").alias("n"), F.max("n").alias("size")))
+        if names is None:
+            totals = own.filter("h IS NULL").select("lang", F.lit(None).cast("string").alias("phrase"), F.lit(0).alias("size"), F.col("n").alias("c"))
+        own = own.filter("h IS NOT NULL").select("h", "lang", "phrase", F.col("size").cast("int").alias("size"))
+        names = own if names is None else names.unionByName(own.join(unnamed, "h", "left_semi"))
+        unnamed = counts.join(names, "h", "left_anti").select(F.lit(0).alias("level"), "h")
+    return names.join(counts, "h").select("lang", "phrase", "size", "c").unionByName(totals)
 
 
 def _run(first, n) -> F.Column:
