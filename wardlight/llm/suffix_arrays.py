@@ -40,7 +40,7 @@ def _induce_bytes(s: np.ndarray, small: np.ndarray, samples: np.ndarray, symbols
     counts = np.bincount(s, minlength=symbols)
     ends = np.cumsum(counts)
     firsts = ends - counts
-    out = np.full(len(s), -1, np.int64)
+    out = np.full(len(s), -1, np.int32)
     kinds = s[samples]
     order = np.argsort(kinds, kind="stable")
     by_kind, cut = samples[order], np.searchsorted(kinds[order], np.arange(symbols + 1))
@@ -149,7 +149,7 @@ def suffix_array(s: np.ndarray, symbols: int) -> np.ndarray:
         as_list, flags, counts = s.tolist(), small.tolist(), np.bincount(s, minlength=symbols).tolist()
 
         def induce(own: np.ndarray) -> np.ndarray:
-            return np.array(_induce_names(as_list, flags, own.tolist(), counts), np.int64)
+            return np.array(_induce_names(as_list, flags, own.tolist(), counts), np.int32)
 
     found = induce(samples)
     is_sample = np.zeros(len(s), bool)

@@ -40,7 +40,7 @@ WINDOW = 400
 #: Bytes of an anchor, and of those that windows of frequent anchors get instead.
 GRAMS = (128, 320, WINDOW)
 #: Different stretches of an anchor in one shard, bytes of a shard, digests a map task remembers.
-MOST, SHARD_BYTES, SEEN = 2_048, 1 << 20, 500_000
+MOST, SHARD_BYTES, SEEN = 1_024, 1 << 19, 250_000
 _LOW = -(2**63)
 _CHUNK = 1 << 19  # windows hashed at once
 _PLACE = U(20)
@@ -348,8 +348,8 @@ def repeated_places(docs: DataFrame, most: int = MOST, shard_bytes: int = SHARD_
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpacker = zstandard.ZstdDecompressor()
     for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            part = batch.slice(at, 64)
+        for at in range(0, batch.num_rows, 32):
+            part = batch.slice(at, 32)
             rows = []
             for text, runs in zip(part.column("text").to_pylist(), part.column("gone").to_pylist(), strict=True):
                 data = np.frombuffer(unpacker.decompress(text), np.uint8)
