@@ -62,7 +62,14 @@ q("h20_enrich_stream", _ENRICH)
 
 q("j01_provider_baseline", f"SELECT provider_id, hist_avg_amount, {R('hist_std_amount', 4)} AS hist_std_amount, hist_claim_count FROM provider_baseline")
 q("j02_velocity", "SELECT event_id, claims_in_window, velocity_score FROM velocity")
-q("j02_velocity_stream", "SELECT event_id, claims_in_window, velocity_score FROM velocity")
+
+def _closed(tables: str) -> str:
+    """The last time of the tables less the delay: what lies before has been given out."""
+    return f"((SELECT MAX(event_ts) FROM landed WHERE tag IN ({tables})) - INTERVAL '10 minutes')"
+
+
+q("j02_velocity_stream", f"""SELECT event_id, claims_in_window, velocity_score FROM velocity
+    WHERE event_timestamp IS NULL OR date_trunc('second', event_timestamp) < date_trunc('second', {_closed("'claims_events'")})""")
 q("j03_amount", f"SELECT event_id, amount_zscore, {R('amount_score', 5)} AS amount_score FROM fraud_scored")
 q("j04_geo", f"SELECT event_id, geo_distance_deg, {R('geo_score', 5)} AS geo_score FROM fraud_scored")
 q("j04_geo_haversine", f"""SELECT event_id, {R('''2 * 6371.0 * asin(sqrt(LEAST(1.0, pow(sin(radians(f.latitude - c.latitude) / 2), 2) + cos(radians(c.latitude)) * cos(radians(f.latitude)) * pow(sin(radians(f.longitude - c.longitude) / 2), 2))))''', 3)} AS km
@@ -84,6 +91,7 @@ q("j10_care_gap_by_facility", "SELECT facility_name, COUNT(*) AS total_alerts, C
 q("j11_rolling_spend", "SELECT event_id, patient_id, rolling_spend_30d, rolling_spend_90d, claims_count_30d FROM rolling_spend")
 q("j12_ed_visits", "SELECT * FROM ed_visits")
 q("j13_readmissions", "SELECT * FROM readmission_counts")
+q("j13_readmission_stream", "SELECT * FROM readmission_counts WHERE readmission_count_30d > 0")
 q("j14_latest_spend", "SELECT patient_id, rolling_spend_30d, rolling_spend_90d, claims_count_30d, latitude, longitude FROM latest_spend")
 q("j15_highcost_alerts", "SELECT * FROM highcost_alerts")
 _MEAN = lambda c, n=0: R(f"CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({c})", n)
@@ -109,6 +117,35 @@ q("j28_thresholds", """SELECT threshold_key, warn, crit, over_warn, over_crit FR
 q("j30_all_alerts", unified("7 days"))
 q("j31_cross_stream_patients", f"""SELECT *, CASE WHEN stream_count >= 3 THEN 'CRITICAL' ELSE 'HIGH' END AS severity_rank FROM (SELECT patient_id, COUNT(DISTINCT source_table) AS stream_count, string_agg(DISTINCT source_table, ', ' ORDER BY source_table) AS streams,
     COUNT(*) AS total_alerts, MAX(score) AS max_score, MAX(alert_timestamp) AS last_alert, MIN(alert_text) AS sample_text FROM all_alerts WHERE {back('alert_timestamp', '7 days', True)} GROUP BY 1) t WHERE stream_count >= 2""")
+
+
+def _spells(found: str, keys: str) -> str:
+    """Of windows in breach those more severe than the window a day before."""
+    level = "CASE severity WHEN 'CRITICAL' THEN 3 WHEN 'HIGH' THEN 2 ELSE 1 END"
+    return f"""SELECT * EXCLUDE (level, before) FROM (SELECT *, CASE WHEN lag(window_start) OVER w = window_start - INTERVAL '1 day' THEN lag(level) OVER w END AS before
+        FROM (SELECT *, {level} AS level FROM ({found}) a) b WINDOW w AS (PARTITION BY {keys} ORDER BY window_start)) c WHERE before IS NULL OR level > before"""
+
+
+_WINDOWS = "time_bucket(INTERVAL '1 day', event_timestamp) - i * INTERVAL '1 day' AS window_start"
+_DENIALS = _spells(f"""SELECT window_start, window_start + INTERVAL '7 days' AS window_end, payer_id, payer_name, COUNT(*) AS total, COUNT(*) FILTER (WHERE hit) AS denied, COUNT(*) FILTER (WHERE hit) / COUNT(*) AS denial_rate,
+    CAST(COALESCE(SUM(CAST(billed_amount AS DECIMAL(18,2))) FILTER (WHERE hit), 0) AS DOUBLE) AS denied_dollars,
+    (SELECT denial_reason FROM (SELECT denial_reason, COUNT(*) AS n FROM denial_adjudication_events d WHERE d.adjudication_result = 'DENIED' AND d.payer_id = t.payer_id AND d.payer_name = t.payer_name
+        AND d.event_timestamp >= t.window_start AND d.event_timestamp < t.window_start + INTERVAL '7 days' GROUP BY 1) r ORDER BY n DESC, denial_reason LIMIT 1) AS top_reason,
+    CASE WHEN denial_rate >= 0.2 THEN 'CRITICAL' WHEN denial_rate >= 0.15 THEN 'HIGH' ELSE 'MEDIUM' END AS severity
+    FROM (SELECT *, adjudication_result = 'DENIED' AS hit, {_WINDOWS} FROM denial_adjudication_events, range(7) r(i) WHERE event_timestamp IS NOT NULL) t
+    GROUP BY window_start, payer_id, payer_name HAVING COUNT(*) >= 20 AND denial_rate > 0.12""", "payer_id, payer_name")
+q("j19_denial_spells", _DENIALS)
+q("j19_denial_spike_stream", f"""SELECT * FROM ({_DENIALS}) s WHERE window_end <= {_closed("'denial_adjudication_events'")}""")
+_SIGNALS = ("clinical_deterioration_events", "denial_adjudication_events", "readmission_events")
+_PATIENTS = _spells(f"""SELECT window_start, window_start + INTERVAL '7 days' AS window_end, patient_id, COUNT(DISTINCT source_table) AS stream_count, string_agg(DISTINCT source_table, ', ' ORDER BY source_table) AS streams,
+    COUNT(*) AS total_alerts, MAX(score) AS max_score, CASE WHEN COUNT(DISTINCT source_table) >= 3 THEN 'CRITICAL' ELSE 'HIGH' END AS severity FROM (SELECT *, {_WINDOWS} FROM (
+    SELECT patient_id, news2_score AS score, 'clinical_deterioration_events' AS source_table, event_timestamp FROM clinical_deterioration_events WHERE news2_score >= 5
+    UNION ALL SELECT patient_id, billed_amount, 'denial_adjudication_events', event_timestamp FROM denial_adjudication_events WHERE adjudication_result = 'DENIED'
+    UNION ALL SELECT patient_id, readmission_risk_score, 'readmission_events', event_timestamp FROM readmission_events) s, range(7) r(i) WHERE event_timestamp IS NOT NULL) t
+    GROUP BY window_start, patient_id HAVING COUNT(DISTINCT source_table) >= 2""", "patient_id")
+q("j31_patient_spells", _PATIENTS)
+# Of three streams the slowest one holds the watermark back.
+q("j31_cross_patient_stream", f"""SELECT * FROM ({_PATIENTS}) s WHERE window_end <= LEAST({', '.join(_closed(f"'{t}'") for t in _SIGNALS)})""")
 _W = lambda ts: f"{back(ts, '7 days', True)} AND provider_id <> ''"
 q("j32_provider_scorecard", f"""SELECT *, {R('fraud_score_p95 * 0.4 + denial_rate_pct * 2.0 + readmit_count * 5.0', 1)} AS composite_risk FROM (SELECT provider_id, COALESCE(p95, 0) AS fraud_score_p95, COALESCE(fa, 0) AS fraud_alerts, COALESCE(n, 0) AS total_claims, COALESCE(dn, 0) AS denied_claims,
     COALESCE({R('100.0::DOUBLE * dn / n', 1)}, 0) AS denial_rate_pct, COALESCE(rn, 0) AS readmit_count FROM (SELECT provider_id FROM fraud_scores WHERE {_W('score_timestamp')} UNION SELECT provider_id FROM denial_adjudication_events WHERE {_W('event_timestamp')}

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.functions import scalars as s
-from wardlight.operators import alerts, caregaps, events, fraud, highcost, views
+from wardlight.operators import alerts, caregaps, events, fraud, highcost, spells, views
 from wardlight.operators.latest import latest_by
 from wardlight.plans.registry import plain, query, tables
 from wardlight.plans.warehouse import WEEK, Warehouse, coo_limits, cto_limits
 from wardlight.sources import landing
-from wardlight.streaming import jobs
+from wardlight.streaming import jobs, stateful
 
 # --- routing -----------------------------------------------------------------------------------
 
@@ -208,11 +208,12 @@ def _(w):
     return fraud.velocity_score(w["claims_events"]).select("event_id", "claims_in_window", "velocity_score")
 
 
+DELAY = "10 minutes"
+
+
 @query("j02_velocity_stream")
 def _(w):
-    out = _fresh(w, "velocity")
-    jobs.finish(jobs.score_batches(_stream(w), f"{out}/history", f"{out}/scores", f"{out}/checkpoint"))
-    return jobs.read_scores(w.spark, f"{out}/scores").select("event_id", "claims_in_window", "velocity_score")
+    return _run(w, stateful.velocity_stream(_stream(w), DELAY), "velocity").select("event_id", "claims_in_window", "velocity_score")
 
 
 @query("j03_amount")
@@ -290,6 +291,12 @@ def _(w):
     return highcost.readmissions(w["adt_events"])
 
 
+@query("j13_readmission_stream")
+def _(w):
+    again = _run(w, stateful.readmission_stream(_stream(w), DELAY), "readmissions")
+    return again.groupBy("patient_id").agg(F.count(F.lit(1)).alias("readmission_count_30d"))
+
+
 @query("j14_latest_spend")
 def _(w):
     return highcost.latest_spend(w["claims_events"])
@@ -349,6 +356,27 @@ def _(w):
     return views.all_alerts(w, w.now)
 
 
+@query("j19_denial_spells")
+def _(w):
+    return spells.denial_spells(w["denial_adjudication_events"], "event_timestamp", WEEK, "1 day")
+
+
+@query("j19_denial_spike_stream")
+def _(w):
+    return _run(w, stateful.denial_spike_stream(_stream(w), DELAY, WEEK, "1 day"), "spikes")
+
+
+@query("j31_patient_spells")
+def _(w):
+    signals = events.union_all([spells.signal_rows(w[t], t, "event_timestamp") for t in spells.SIGNALS])
+    return spells.patient_spells(signals, "event_timestamp", tuple(spells.SIGNALS), WEEK, "1 day")
+
+
+@query("j31_cross_patient_stream")
+def _(w):
+    return _run(w, stateful.cross_patient_stream(_stream(w), DELAY, WEEK, "1 day"), "patients")
+
+
 @query("j31_cross_stream_patients")
 def _(w):
     return views.cross_stream_patients(w["all_alerts"], w.now, WEEK)

@@ -17,6 +17,8 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Bursts of a key are merged in each map task before they are shuffled.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Long texts go to Python workers in small batches: a batch is held several times over.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wardlight.functions import scalars as s
-from wardlight.operators import fraud
 from wardlight.operators.latest import latest_by
 from wardlight.sources import landing
 
@@ -114,40 +112,6 @@ def enrich(stream: DataFrame, table: str, dims: list[tuple[DataFrame, str]]) ->
     return typed
 
 
-def score_batches(stream: DataFrame, history: str, out: str, checkpoint: str, seconds: int = 3600) -> StreamingQuery:
-    """Velocity of each claim, counting the claims of the trailing seconds.
-
-    Spark has no trailing windows on streams, so each micro-batch is scored in batch
-    against the slice of the claim history that can reach it. Stored claims that a late
-    claim reaches are scored again; ``read_scores`` takes the last score of each claim.
-    """
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        row = F.concat(F.lit(f"{batch_id}-"), F.monotonically_increasing_id().cast("string"))
-        claims = landing.route(landing.parse_events(batch), "claims_events").withColumn("_row", row).persist()
-        try:
-            claims.write.mode("overwrite").parquet(_batch_path(history, "claims_events", batch_id))
-            span = claims.agg(F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last"))
-            first, last = span.select("first").scalar(), span.select("last").scalar()
-            reach = s.spark_interval(f"{seconds} seconds")
-            stored = spark.read.parquet(f"{history}/claims_events").filter(F.col("batch_id") < batch_id).drop("batch_id")
-            # Scored again are stored claims up to the reach after the last new one, counting what reaches them.
-            near = stored.filter((F.col("event_timestamp") >= first - reach) & (F.col("event_timestamp") <= last + reach))
-            both = claims.withColumn("_score", F.lit(True)).unionByName(near.withColumn("_score", F.col("event_timestamp") >= first))
-            scored = fraud.velocity_score(both, seconds).filter("_score").drop("_score")
-            scored.write.mode("overwrite").parquet(_batch_path(out, "velocity", batch_id))
-        finally:
-            claims.unpersist()
-
-    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def read_scores(spark: SparkSession, out: str) -> DataFrame:
-    """The last score of each claim."""
-    return latest_by(spark.read.parquet(f"{out}/velocity"), ["_row"], "batch_id", "batch_id").drop("_row", "batch_id")
-
-
 def to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Run a stream over what has arrived. ``update`` results keep the last row of each batch."""
     if mode == "append":
