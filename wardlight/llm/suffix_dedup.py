@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,10 @@ WINDOW = 400
 #: Bytes of an anchor, and of those that windows of frequent anchors get instead.
 GRAMS = (128, 320, WINDOW)
 #: Different stretches of an anchor in one shard, bytes of a shard, digests a map task remembers.
-MOST, SHARD_BYTES, SEEN = 1_024, 1 << 19, 250_000
+MOST, SHARD_BYTES, SEEN = 2_048, 1 << 19, 250_000
+#: Bits that tell which documents a step needs; their number is fixed, some documents are named without need.
+NAMED = 24
+_BITMAP = 1 << 15  # bits of one value of bitmap_construct_agg
 _LOW = -(2**63)
 _CHUNK = 1 << 19  # windows hashed at once
 _PLACE = U(20)
@@ -306,21 +310,56 @@ def _shards(shard_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as zstandard frames: they are shuffled twice, and the shuffle's own codec packs them less."""
-    packer = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        for part in pieces(batch):
-            frames = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in part.column("text").to_pylist()]
-            yield pa.record_batch([part.column("doc"), part.column("key"), pa.array(frames, pa.binary())], names=["doc", "key", "text"])
+def _slot() -> F.Column:
+    return F.xxhash64("doc", "key").bitwiseAND(F.lit((1 << NAMED) - 1))
+
+
+def _named(keys: DataFrame) -> np.ndarray:
+    """For each slot whether it may hold one of the documents (doc, key): 2^NAMED bits reach the driver at most."""
+    packed = keys.select(_slot().alias("slot")).groupBy(F.shiftright("slot", 15).alias("block")).agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit(_BITMAP - 1))).alias("bits"))
+    out = np.zeros((1 << NAMED) // 8, np.uint8)
+    for row in packed.collect():
+        out[row["block"] * _BITMAP // 8 : (row["block"] + 1) * _BITMAP // 8] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _chosen(batch: pa.RecordBatch, named: np.ndarray, inside: bool) -> pa.RecordBatch:
+    slot = batch.column("slot").to_numpy()
+    return batch.filter(pa.array((named[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1) == inside))
+
+
+def _pack(named) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts of the named documents as zstandard frames: the shuffle's own codec packs them less."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for part in pieces(_chosen(batch, named.value, True)):
+                frames = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in part.column("text").to_pylist()]
+                yield pa.record_batch([part.column("doc"), part.column("key"), pa.array(frames, pa.binary())], names=["doc", "key", "text"])
+
+    return run
+
+
+def _untouched(named) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Documents that are not named keep all their bytes; they are not shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(_chosen(batch, named.value, False)):
+                kept = part.column("text").cast(pa.binary())
+                none = pa.array(np.zeros(part.num_rows, np.int64))
+                yield pa.record_batch([part.column("doc"), part.column("key"), pc.binary_length(kept).cast(pa.int64()), none, none, kept], names=["doc", "key", "n_bytes", "n_removed", "n_spans", "kept"])
+
+    return run
 
 
 def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LOW)).alias("doc"), text_key().alias("key"), text_of().alias("text"))
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    return _documents(docs).mapInArrow(_pack, "doc bigint, key bigint, text binary")
+def _packed(docs: DataFrame, named) -> DataFrame:
+    return _documents(docs).withColumn("slot", _slot()).mapInArrow(_pack(named), "doc bigint, key bigint, text binary")
 
 
 def repeated_places(docs: DataFrame, most: int = MOST, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -336,7 +375,8 @@ def repeated_places(docs: DataFrame, most: int = MOST, shard_bytes: int = SHARD_
         gone = known if gone is None else gone.unionByName(known)
         wanted = met.filter(F.col("state") != KNOWN)
         found = wanted.groupBy("doc", "key").agg(F.collect_list(F.struct("anchor", "digest", "start", "n", "state", "frequent")).alias("found"))
-        cut = _packed(docs).join(found, ["doc", "key"]).select("doc", "key", "text", "found").mapInArrow(_cut(GRAMS[min(k + 1, len(GRAMS) - 1)]), _CUT)
+        named = docs.sparkSession.sparkContext.broadcast(_named(wanted))
+        cut = _packed(docs, named).join(found, ["doc", "key"]).select("doc", "key", "text", "found").mapInArrow(_cut(GRAMS[min(k + 1, len(GRAMS) - 1)]), _CUT)
         judged = cut_lineage(cut.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_shards(shard_bytes), _CUT).drop("frequent", "bytes"))
         gone = gone.unionByName(judged.filter(F.col("state") == KNOWN).select(*run))
         level = judged.filter(F.col("state") != KNOWN)
@@ -364,7 +404,10 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def strip_repeats(docs: DataFrame, most: int = MOST, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, text_key, n_bytes, n_removed, n_spans and the kept bytes of every row."""
-    gone = repeated_places(docs, most, shard_bytes).groupBy("doc", "key").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
-    whole = _packed(docs).join(gone, ["doc", "key"], "left").select("doc", "key", "text", "gone")
-    out = whole.mapInArrow(_strip, "doc bigint, key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    places = repeated_places(docs, most, shard_bytes)
+    named = docs.sparkSession.sparkContext.broadcast(_named(places))
+    gone = places.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
+    columns = "doc bigint, key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+    touched = _packed(docs, named).join(gone, ["doc", "key"], "left").select("doc", "key", "text", "gone").mapInArrow(_strip, columns)
+    out = touched.unionByName(_documents(docs).withColumn("slot", _slot()).mapInArrow(_untouched(named), columns))
     return out.select(F.when(F.col("doc") != _LOW, F.col("doc")).alias("doc_id"), F.col("key").alias("text_key"), "n_bytes", "n_removed", "n_spans", "kept")
