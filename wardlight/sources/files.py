@@ -29,7 +29,7 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
+def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match, through the file system the path belongs to."""
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
@@ -50,7 +50,7 @@ def _read(spark: SparkSession, paths: list[str], schema: T.StructType, source: s
 
 def load_incremental(spark: SparkSession, globs: list[str], schema: T.StructType, load_ts: Column | None = None) -> DataFrame:
     """Incremental files, flat or one level of date folders deep; an empty table if there are none."""
-    paths = [p for g in globs for p in _glob(spark, g)]
+    paths = [p for g in globs for p in matching(spark, g)]
     if paths:
         return _read(spark, paths, schema, "incremental", load_ts)
     lineage = [T.StructField("_bronze_load_timestamp", T.TimestampType()), T.StructField("_bronze_source", T.StringType()), T.StructField("_bronze_file", T.StringType())]
@@ -82,9 +82,9 @@ def save_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     writer.parquet(path)
 
 
-def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
-    """Remove one partition of a table, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of a table, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -110,7 +110,7 @@ def missing_sources(spark: SparkSession, files: list[SourceFile]) -> DataFrame:
     """Required inputs for which no file is there."""
     rows = [(f.name, f.path, f.required) for f in files]
     expected = spark.createDataFrame(rows, "name string, path string, required boolean")
-    there = spark.createDataFrame([(f.name,) for f in files if _glob(spark, f.path)], "name string")
+    there = spark.createDataFrame([(f.name,) for f in files if matching(spark, f.path)], "name string")
     return expected.filter("required").join(there, "name", "left_anti")
 
 
