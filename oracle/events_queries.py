@@ -83,7 +83,7 @@ q("j07_fraud_top_providers", f"""SELECT provider_id, flagged_claims, avg_fraud_s
 
 q("j08_care_gap_alerts", "SELECT * FROM care_gap_alerts")
 q("j09_care_gap_priority", """SELECT md5('CARE_GAP|' || event_id || '|' || g.measure_id) AS alert_id, g.measure_id, COALESCE(g.measure_name, g.measure_id) AS measure_name, a.gap_days_overdue, alert_priority,
-    'CARE GAP ALERT: Patient ' || COALESCE(patient_first_name, '') || ' ' || COALESCE(patient_last_name, '') || ' has an open ' || g.measure_id || ' gap (' || COALESCE(g.measure_name, g.measure_id) || '), overdue by ' || a.gap_days_overdue || ' days. Consider ordering during this visit.' AS alert_text
+    'Open measure ' || g.measure_id || ' [' || COALESCE(g.measure_name, g.measure_id) || ']: ' || COALESCE(patient_first_name, '') || ' ' || COALESCE(patient_last_name, '') || ' is in the house; due since ' || a.gap_days_overdue || ' days.' AS alert_text
     FROM care_gap_alerts a JOIN care_gaps g ON a.patient_id = g.patient_id AND a.measure_id = g.measure_id""")
 q("j10_care_gap_by_priority", "SELECT alert_priority, COUNT(*) AS alert_count, COUNT(DISTINCT patient_id) AS unique_patients, COUNT(DISTINCT facility_id) AS facilities_involved, COUNT(DISTINCT measure_id) AS measures_flagged FROM care_gap_alerts GROUP BY 1")
 q("j10_care_gap_by_measure", f"SELECT measure_id, measure_name, COUNT(*) AS alerts, COUNT(DISTINCT patient_id) AS patients, {R('AVG(gap_days_overdue)', 0)} AS avg_days_overdue FROM care_gap_alerts GROUP BY 1, 2")

@@ -302,7 +302,7 @@ cte("fraud_scores", f"""SELECT *, CASE WHEN fraud_score >= 50 THEN 'CRITICAL' WH
 cte("care_gap_alerts", """SELECT md5('CARE_GAP|' || event_id || '|' || measure_id) AS alert_id, event_timestamp AS alert_timestamp, event_id, patient_id, first_name AS patient_first_name, last_name AS patient_last_name, facility_id,
     facility_name, event_type, admission_type, primary_diagnosis, measure_id, measure_name, gap_days_overdue,
     CASE WHEN measure_id IN ('CDC','BCS','COL') AND gap_days_overdue > 180 OR gap_days_overdue > 365 THEN 'CRITICAL' WHEN measure_id IN ('CDC','BCS','COL') OR gap_days_overdue > 90 THEN 'HIGH' WHEN gap_days_overdue > 30 THEN 'MEDIUM' ELSE 'LOW' END AS alert_priority,
-    'CARE GAP ALERT: Patient ' || COALESCE(first_name, '') || ' ' || COALESCE(last_name, '') || ' has an open ' || measure_id || ' gap (' || measure_name || '), overdue by ' || gap_days_overdue || ' days. Consider ordering during this visit.' AS alert_text,
+    'Open measure ' || measure_id || ' [' || measure_name || ']: ' || COALESCE(first_name, '') || ' ' || COALESCE(last_name, '') || ' is in the house; due since ' || gap_days_overdue || ' days.' AS alert_text,
     latitude, longitude FROM (SELECT a.event_id, a.event_timestamp, a.event_type, a.patient_id, a.facility_id, a.admission_type, a.primary_diagnosis, g.measure_id, COALESCE(h.measure_name, g.measure_name, g.measure_id) AS measure_name,
     COALESCE(TRY_CAST(g.gap_days_overdue AS INTEGER), 0) AS gap_days_overdue, p.first_name, p.last_name, COALESCE(f.facility_name, 'Unknown') AS facility_name, COALESCE(f.latitude, 42.96) AS latitude, COALESCE(f.longitude, -85.67) AS longitude
     FROM adt_events a JOIN care_gaps g USING (patient_id) LEFT JOIN dim_patient p USING (patient_id) LEFT JOIN dim_facility f ON a.facility_id = f.facility_id LEFT JOIN hedis_measures h ON g.measure_id = h.measure_id
