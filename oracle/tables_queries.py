@@ -18,6 +18,7 @@ q("a06_missing_sources", "SELECT 'payments' AS name, true AS required")
 q("a07_consume_once", f"SELECT {PATIENT_COLS} FROM patients_raw")
 q("a08_partitioned_sink", f"SELECT year_month, COUNT(*) AS row_count, {S('premium_amount')} AS premium FROM fact_premium GROUP BY 1")
 q("a09_clustered_sink", "SELECT * FROM fact_authorization")
+q("a09_clustered_claims", "SELECT * FROM fact_claim")
 q("a10_load_report", " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS records, 'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM {n}" for n in (f"{k}_clean" for k in KEYS)))
 
 

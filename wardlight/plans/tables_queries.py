@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.functions import scalars as s
-from wardlight.operators import dims, facts, keys, ods, quality, scd, silver
+from wardlight.operators import clustering, dims, facts, keys, ods, quality, scd, silver
 from wardlight.plans.registry import plain, query, tables
 from wardlight.plans.warehouse import DIM_LOAD, Warehouse
 from wardlight.sources import domain, files, landing
@@ -103,6 +103,15 @@ def _(w):
     return w.spark.read.parquet(path)
 
 
+@query("a09_clustered_claims")
+def _(w):
+    path = f"{w.folder}/claims_clustered"
+    claims = w["fact_claim"]
+    edges = clustering.edges_of(claims, ["payer_key", "claim_date_key"])
+    clustering.save_clustered_by(plain(claims), path, [(F.col(c), e) for c, e in edges.items()])
+    return files.read_table(w.spark, path, plain(claims).schema)
+
+
 @query("a10_load_report")
 def _(w):
     return files.load_all(w.spark, {f"{n}_clean": w[f"{n}_clean"] for n in silver.KEYS}, f"{w.folder}/loaded")

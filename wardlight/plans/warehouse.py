@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.operators import aggregates, alerts, caregaps, dims, events, facts, fraud, highcost, increment, keys, ods, scd, scores, silver, views
+from wardlight.operators import aggregates, alerts, caregaps, clustering, dims, events, facts, fraud, highcost, increment, keys, ods, scd, scores, silver, views
 from wardlight.session import shared_dir
 from wardlight.sources import domain, files, landing
 
@@ -26,6 +26,15 @@ _PARTITIONS = {"fact_premium": ["year_month"], "fact_capitation": ["year_month"]
 _MONTHS = {"fact_encounter": "encounter_date_key", "fact_claim": "claim_date_key", "fact_prescription": "fill_date_key"}
 
 
+def claim_axes(w: "Warehouse") -> list[clustering.Axis]:
+    """Payers by their keys; of dates only the day counts, since months are folders."""
+    payers = clustering.edges_of(w["dim_payer"], ["payer_key"])["payer_key"]
+    return [(F.col("payer_key"), payers), (F.col("claim_date_key") % 100, range(2, 32))]
+
+
+_CLUSTERED = {"fact_claim": claim_axes}
+
+
 def _view(name: str, build: Build) -> None:
     _VIEWS[name] = build
 
@@ -66,6 +75,9 @@ class Warehouse:
         path, by = f"{self.folder}/{name}", _PARTITIONS.get(name)
         if name in _MONTHS:
             df, by = df.withColumn(increment.MONTH, increment.month_of_key(_MONTHS[name])), [increment.MONTH]
+            if name in _CLUSTERED:
+                clustering.save_clustered_by(df, path, _CLUSTERED[name](self), by)  # and within months by payer and day
+                return files.read_table(self.spark, path, df.schema)
         elif name in landing.EVENT_TABLES and events.TS in df.columns:
             df, by = df.withColumn(events.DAY, F.to_date(events.TS)), [events.DAY]
         files.save_table(df, path, partition_by=by)
