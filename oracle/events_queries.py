@@ -27,6 +27,8 @@ def _ts(table: str) -> str:
 _MID = "TIMESTAMP '2024-04-15 12:00:00'"
 q("h08_retention", " UNION ALL ".join(f"""SELECT '{t}' AS table_name, {n} AS days, COUNT(*) FILTER (WHERE {_ts(t)} >= {_MID} - INTERVAL '{n} days') AS kept,
     COUNT(*) FILTER (WHERE {_ts(t)} < {_MID} - INTERVAL '{n} days') AS dropped FROM {t}""" for t, n in _DAYS.items()))
+q("h08_retention_dropped", " UNION ALL ".join(f"""SELECT CAST({_ts(t)} AS DATE) AS day, COUNT(*) AS row_count, MIN({_ts(t)}) AS oldest, '{t}' AS table_name
+    FROM {t} WHERE {_ts(t)} IS NULL OR {_ts(t)} >= {_MID} - INTERVAL '{n} days' GROUP BY 1""" for t, n in _DAYS.items()))
 q("h08_retention_rows", f"SELECT event_id, event_timestamp FROM ops_capacity_events WHERE event_timestamp >= {_MID} - INTERVAL '90 days'")
 for _label, _size in (("5m", "5 minutes"), ("1h", "1 hour"), ("15m", "15 minutes"), ("1m", "1 minute"), ("30m", "30 minutes")):
     q(f"h09_tumbling_{_label}", f"SELECT time_bucket(INTERVAL '{_size}', event_timestamp) AS bin, claim_type, COUNT(*) AS event_count FROM claims_events WHERE event_timestamp IS NOT NULL GROUP BY 1, 2")

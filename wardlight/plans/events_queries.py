@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardlight import reference_data as ref
 from wardlight.functions import scalars as s
-from wardlight.operators import alerts, caregaps, events, fraud, highcost, spells, views
+from wardlight.operators import alerts, caregaps, events, fraud, highcost, retention, spells, views
 from wardlight.operators.latest import latest_by
 from wardlight.plans.registry import plain, query, tables
 from wardlight.plans.warehouse import WEEK, Warehouse, coo_limits, cto_limits
-from wardlight.sources import landing
+from wardlight.sources import files, landing
 from wardlight.streaming import jobs, stateful
 
 # --- routing -----------------------------------------------------------------------------------
@@ -68,17 +69,34 @@ def _(w):
     return landing.landing_status(w["landing_parsed"]).withColumnRenamed("_table", "tag")
 
 
+RETAINED_AT = "2024-04-15 12:00:00"
+
+
+def _time_of(table: str) -> str:
+    return "closure_timestamp" if table == "alert_closure_events" else "alert_timestamp" if table.endswith("_alerts") else "event_timestamp"
+
+
 @query("h08_retention")
 def _(w):
-    from wardlight import reference_data as ref
+    return events.retention_report({t: (w[t], _time_of(t)) for t in ref.RETENTION_DAYS}, RETAINED_AT)
 
-    timed = {t: (w[t], "closure_timestamp" if t == "alert_closure_events" else "alert_timestamp" if t.endswith("_alerts") else "event_timestamp") for t in ref.RETENTION_DAYS}
-    return events.retention_report(timed, "2024-04-15 12:00:00")
+
+@query("h08_retention_dropped")
+def _(w):
+    folder, parts = _fresh(w, "retention"), []
+    for t, days in ref.RETENTION_DAYS.items():
+        ts = _time_of(t)
+        schema = w[t].drop(events.DAY).withColumn(events.DAY, F.to_date(ts)).schema
+        retention.save_by_day(w[t].drop(events.DAY), f"{folder}/{t}", ts)
+        retention.drop_before(w.spark, f"{folder}/{t}", ts, retention.cut_of(RETAINED_AT, days))
+        left = files.read_table(w.spark, f"{folder}/{t}", schema)
+        parts.append(left.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("row_count"), F.min(ts).alias("oldest")).withColumn("table_name", F.lit(t)))
+    return events.union_all(parts)
 
 
 @query("h08_retention_rows")
 def _(w):
-    return events.apply_retention(w["ops_capacity_events"], "event_timestamp", 90, "2024-04-15 12:00:00").select("event_id", "event_timestamp")
+    return events.apply_retention(w["ops_capacity_events"], "event_timestamp", 90, RETAINED_AT).select("event_id", "event_timestamp")
 
 
 for _size, _label in (("5 minutes", "5m"), ("1 hour", "1h"), ("15 minutes", "15m"), ("1 minute", "1m"), ("30 minutes", "30m")):

@@ -88,6 +88,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another name on the same file system."""
+    jvm = spark._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
