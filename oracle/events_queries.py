@@ -33,6 +33,10 @@ q("h08_retention_rows", f"SELECT event_id, event_timestamp FROM ops_capacity_eve
 for _label, _size in (("5m", "5 minutes"), ("1h", "1 hour"), ("15m", "15 minutes"), ("1m", "1 minute"), ("30m", "30 minutes")):
     q(f"h09_tumbling_{_label}", f"SELECT time_bucket(INTERVAL '{_size}', event_timestamp) AS bin, claim_type, COUNT(*) AS event_count FROM claims_events WHERE event_timestamp IS NOT NULL GROUP BY 1, 2")
 q("h10_lookback_counts", " UNION ALL ".join(f"SELECT '{s}' AS span, COUNT(*) AS event_count FROM claims_events WHERE {back('event_timestamp', s)}" for s in ("15 minutes", "30 minutes", "1 hour", "2 hours", "6 hours", "24 hours", "72 hours", "7 days")))
+_RAGGED = NOW.replace(":00:00'", ":03:41'")
+for _name in ("h10_lookback_rollups", "h10_rollup_stream"):
+    q(_name, " UNION ALL ".join(f"""SELECT '{s}' AS span, claim_type, COUNT(*) AS event_count, MIN(claim_amount) AS min_claim_amount, MAX(claim_amount) AS max_claim_amount FROM claims_events
+        WHERE event_timestamp > {_RAGGED} - INTERVAL '{s}' AND event_timestamp <= {_RAGGED} GROUP BY 2""" for s in ("15 minutes", "30 minutes", "1 hour", "2 hours", "6 hours", "24 hours", "72 hours", "7 days")))
 q("h10_sliding_windows", """SELECT time_bucket(INTERVAL '15 minutes', event_timestamp) - i * INTERVAL '15 minutes' AS bin, COUNT(*) AS event_count FROM claims_events, range(4) r(i) WHERE event_timestamp IS NOT NULL GROUP BY 1""")
 q("h10_sliding_stream", """SELECT bin, tag, COUNT(*) AS event_count FROM (SELECT time_bucket(INTERVAL '15 minutes', event_ts) - i * INTERVAL '15 minutes' AS bin, tag FROM landed, range(4) r(i) WHERE event_ts IS NOT NULL) t
     WHERE bin + INTERVAL '1 hour' <= (SELECT MAX(event_ts) FROM landed) - INTERVAL '10 minutes' GROUP BY 1, 2""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlight import reference_data as ref
 from wardlight.functions import scalars as s
-from wardlight.operators import alerts, caregaps, events, fraud, highcost, retention, spells, views
+from wardlight.operators import alerts, caregaps, events, fraud, highcost, retention, rollups, spells, views
 from wardlight.operators.latest import latest_by
 from wardlight.plans.registry import plain, query, tables
 from wardlight.plans.warehouse import WEEK, Warehouse, coo_limits, cto_limits
@@ -110,6 +111,34 @@ def _(w):
     return events.union_all(parts)
 
 
+# Amounts of events are doubles: compared, not added, since sums would depend on their order.
+CLAIM_ROLLUP = rollups.Rollup("event_timestamp", ("claim_type",), {}, ("claim_amount",), ("claim_amount",))
+SPANS = {label: datetime.timedelta(minutes=m) for label, m in (("15 minutes", 15), ("30 minutes", 30), ("1 hour", 60), ("2 hours", 120), ("6 hours", 360),
+                                                               ("24 hours", 1440), ("72 hours", 4320), ("7 days", 10080))}
+
+
+def _off_the_minute(w: Warehouse) -> str:
+    """A moment amid a minute, so that both ends of a look-back are ragged."""
+    return w.now.replace(":00:00", ":03:41")
+
+
+@query("h10_lookback_rollups")
+def _(w):
+    path = _fresh(w, "rollups")
+    rows = w["claims_events"]
+    rollups.add_batch(rows, CLAIM_ROLLUP, path, 0)
+    return rollups.lookbacks(w.spark, path, CLAIM_ROLLUP, rows, _off_the_minute(w), SPANS)
+
+
+@query("h10_rollup_stream")
+def _(w):
+    out = _fresh(w, "rollup-stream")
+    path = f"{out}/rollups"
+    jobs.finish(jobs.run_rollup(_stream(w), "claims_events", CLAIM_ROLLUP, path, f"{out}/checkpoint"))
+    rollups.fold(w.spark, path, CLAIM_ROLLUP)
+    return rollups.lookbacks(w.spark, path, CLAIM_ROLLUP, w["claims_events"], _off_the_minute(w), SPANS)
+
+
 @query("h10_sliding_windows")
 def _(w):
     return events.tumbling(w["claims_events"], "event_timestamp", "1 hour", slide="15 minutes")

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from wardlight.operators import rollups
 from wardlight.operators.latest import latest_by
+from wardlight.operators.rollups import Rollup
 from wardlight.sources import landing
 
 WRITERS = 4  # tables of a micro-batch written at the same time
@@ -62,6 +64,15 @@ def routed(spark: SparkSession, out: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{out}/{table}").drop("batch_id")
 
 
+def run_rollup(stream: DataFrame, table: str, rollup: Rollup, out: str, checkpoint: str) -> StreamingQuery:
+    """Keep the roll-ups of a typed table as its messages arrive; a repeated micro-batch counts once."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        rollups.add_batch(landing.route(landing.parse_events(batch), table), rollup, out, batch_id)
+
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def timed(stream: DataFrame, delay: str, table: str | None = None) -> DataFrame:
     """Parsed events with their time and a watermark."""
     parsed = landing.parse_events(stream).filter(F.col("_corrupt_record").isNull())
