@@ -1,7 +1,9 @@
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -205,6 +207,86 @@ def test_adjoining_lines_and_partly_covered_strings_are_novel():
     assert not secrets.novel_spans(text, secrets.base_spans(text), novelty)
 
 
+PLAIN, SYMBOLS = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])), "!@#$%^&*()"
+
+
+def _random_string(rng, alphabet, n):
+    return "".join(alphabet[int(i)] for i in rng.integers(0, len(alphabet), n))
+
+
+@pytest.mark.parametrize("place", ['{code}passphrase = "{secret}"\n{code}', "{code}passphrase {secret} and {code}", "# the credential {far80}\nfoo = '{secret}'\n{code}",
+                                   "# the credential {far300}\nfoo = '{secret}'\n{code}", "{code}https://host.example.com/path?api_token={secret}&page=2 {code}"])
+@pytest.mark.parametrize("alphabet", [PLAIN, PLAIN + SYMBOLS])
+def test_secrets_with_symbols_and_far_from_their_word(place, alphabet):
+    rng = np.random.default_rng(8)
+    novelty = secrets.Novelty(b"the of and value number setting default")
+    code = "def setting(value, number):\n    return default of the value\n" * 5
+    for n in (16, 24, 32):
+        hits = 0
+        for _ in range(100):
+            secret = _random_string(rng, alphabet, n)
+            text = place.format(code=code, secret=secret, far80=code[:80], far300=(code + code)[:300])
+            got = [text[s:e] for s, _, e in secrets.novel_spans(text, [], novelty)]
+            hits += any(len(g) >= n - 3 and (g in secret or secret[: n - 3] in g) for g in got)
+        assert hits >= 90 if n == 16 else hits >= 95, (n, hits)
+
+
+def test_plain_code_has_no_novel_strings():
+    code = """
+        token = self.session.get_authorization(request.headers, 30)
+        secret_manager = Callable[[SecretManager], Mapping[str, SecretVersion]]
+        raise InvalidCredentialError("credential_provider.not_configured", provider=provider.display_name)
+        signature = hmac_signature(key=private_key_loader.load_private_key(), message=canonical_request)
+        return array<struct<name:string,first:int,last:int>>
+    """
+    assert not secrets.novel_spans(code * 3, secrets.base_spans(code * 3), secrets.Novelty(b""))
+
+
+def _novel_by_brute_force(text, novelty):
+    """Strings without symbols on lines with other words, one by one."""
+    words_at = [m.end() for m in secrets.SENSITIVE.finditer(text)]
+    out, i = [], words_at[0] if words_at else len(text)
+    while i < len(text):
+        j = i
+        while j < len(text) and text[j] != " ":
+            j += 1
+        distance = i - max((w for w in words_at if w <= i), default=0)
+        if j - i >= 16:
+            kinds = "".join("d" if c.isdigit() else "u" if c.isupper() else "l" for c in text[i:j])
+            merged = "".join(k for at, k in enumerate(kinds) if at == 0 or kinds[at - 1] != k)
+            runs = len(merged) - sum(kinds[a - 1 : a + 1] == "ul" and (a == 1 or kinds[a - 2] != "u") for a in range(1, len(kinds)))
+            changes = runs >= 3 and runs * 6 >= j - i
+            new = novelty.bytes_of(text, i, j) - np.log2(1 + distance / 1024)
+            entropy = (j - i) * np.log2(len(set(text[i:j]))) / 8
+            if new >= 12 and (new >= 0.8 * (j - i) or new >= entropy + 8) and (distance <= 64 or changes):
+                out.append((i, 3, j))
+        i = j + 1
+    return out
+
+
+def test_novel_strings_against_brute_force():
+    rng = np.random.default_rng(9)
+    novelty = secrets.Novelty(b"the of and value number setting default")
+    found = 0
+    for _ in range(60):
+        parts = [str(rng.choice(["value", "setting", "secret", "of", "defaultvaluenumbersetting", "AbcDefGhiJklMnoPqrStu"])) for _ in range(int(rng.integers(5, 60)))]
+        for _ in range(4):
+            alphabet = ["abcdefghijklmnop", PLAIN, "0123456789ABCDEF"][int(rng.integers(3))]
+            parts.insert(int(rng.integers(len(parts))), _random_string(rng, alphabet, int(rng.integers(12, 40))))
+        text = " ".join(parts)
+        want = _novel_by_brute_force(text, novelty)
+        assert secrets.novel_spans(text, [], novelty) == want
+        found += len(want)
+    assert found > 60
+
+
+@pytest.mark.parametrize("text", ["password" * 100_000, "secret " + "a=b;" * 200_000, "token " + ("x" * 15 + "! ") * 50_000, "token=" * 100_000])
+def test_secret_scan_of_bad_texts_takes_linear_time(text):
+    start = time.process_time()
+    secrets.novel_spans(text, [], secrets.Novelty(b""))
+    assert time.process_time() - start < 10
+
+
 def test_dictionary_does_not_depend_on_partitions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert secrets.dictionary(docs, 0.002) == secrets.dictionary(docs.repartition(9), 0.002) != b""

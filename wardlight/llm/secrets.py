@@ -1,13 +1,21 @@
 """Secret scan: fixed patterns, and the novelty of strings in sensitive places.
 
 Three patterns give the base spans. Beside them, strings of `LEAST_LENGTH` and more characters
-that follow a sensitive word within `REACH` characters are measured: the bytes by which the
-string makes its surroundings longer under zstandard, primed with a dictionary of the
-identifiers that are frequent in the whole corpus. A string of which at least `LEAST_BYTES`
-bytes are new is reported as `novel`, if these are `LEAST_RATIO` bytes a character or `SURPLUS`
-bytes more than random characters of its own alphabet need, and it does not lie wholly in base
-spans. Lines that consist of one string and adjoin such a string, as in a key file, belong to
-the sensitive place: they are measured together with it, and each by itself if that fails.
+that come after a sensitive word are measured: the bytes by which the string makes its
+surroundings longer under zstandard, primed with a dictionary of the identifiers that are
+frequent in the whole corpus. A string of which at least `LEAST_BYTES` bytes are new is reported
+as `novel`, if these are `LEAST_RATIO` bytes a character or `SURPLUS` bytes more than random
+characters of its own alphabet need, and it does not lie wholly in base spans. There is no
+distance at which a word stops to count: both bounds rise by a byte each time the distance from
+the nearest word before, in units of `NEAR` characters, doubles, and beyond `CLOSE` characters a string has to change
+between words, capitals and digits at least every `STRIDE` characters, as names in code do not.
+
+A string is a run of printable ASCII characters without blanks and quotes, symbols included, less
+the brackets and separators at its ends; of a run that assigns to a name with a sensitive word
+only the value. A run with further symbols counts as a whole where it stands in quotes, is assigned,
+or comes right after the word; if it doesn't or is not novel as a whole, its pieces of letters, digits and `+/_.=-` are
+measured. Lines that consist of one string and adjoin such a string, as in a key file, are
+measured together with it, and each by itself if that fails.
 
 The dictionary holds every identifier with at least `SHARE` of all identifiers of the corpus,
 at most 1 / SHARE of them: Misra-Gries summaries name candidates, a second pass counts them.
@@ -41,8 +49,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LENGTH = 6
 
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|pwd|secret|token|credential|bearer|signature|(?:api|private|access|auth|signing|encryption)[_ .-]?key", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]+")
-REACH, AROUND = 64, 256
+RUN = re.compile(r"[!#-&(-_a-~]{16,}")  # printable ASCII but blanks and quotes
+ASSIGNED = re.compile(f"(?:{SENSITIVE.pattern})" + r"[\w.-]{0,64}[:=]+(?=[^:=])", re.I | re.A)  # within a run: the name that its value follows
+PIECE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+STRETCH = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+LEADING = re.compile(r"[\s:=>\"'`]*")
+QUOTES = "\"'`"
+CLOSE, STRIDE = 64, 6
+OPENING, CLOSING = "([{<:=,;", ")]}>:,;"  # not part of a string that they enclose
+NEAR, AROUND = 1024, 256
 LEAST_LENGTH, LEAST_BYTES, LEAST_RATIO, SURPLUS = 16, 12, 0.8, 8
 FOLLOWING = re.compile(r"""["',+\\\x20\t]*(?:\r\n|\n|\r)["'\x20\t]*([A-Za-z0-9+/_.=-]+)(?=["',;+\\\x20\t]*(?:[\r\n]|\Z))""", re.A)
 SHARE, LEVEL = 1e-4, 3
@@ -71,13 +86,32 @@ class Novelty:
         return len(self.compressor.compress(before + text[start:end].encode() + after)) - len(self.compressor.compress(before + after))
 
 
-def is_novel(text: str, start: int, end: int, novelty: Novelty) -> bool:
-    size, new = end - start, novelty.bytes_of(text, start, end)
+def is_novel(text: str, start: int, end: int, novelty: Novelty, distance: int = 0) -> bool:
+    size, new = end - start, novelty.bytes_of(text, start, end) - math.log2(1 + distance / NEAR)
     bound = size * math.log2(len(set(text[start:end]))) / 8 + SURPLUS
     return new >= LEAST_BYTES and new >= min(LEAST_RATIO * size, bound)
 
 
+def _changes(string: str) -> bool:
+    """Does it change between words, capitals and digits as random strings do? Symbols don't count."""
+    plain = "".join(c for c in string if c.isalnum())
+    return len(STRETCH.findall(plain)) * STRIDE >= max(len(plain), 3 * STRIDE)
+
+
+def _inner(text: str, start: int, end: int) -> tuple[int, int]:
+    """A run less what encloses it."""
+    while start < end and text[start] in OPENING:
+        start += 1
+    while start < end and text[end - 1] in CLOSING:
+        end -= 1
+    return start, end
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
+    """Novel strings in order: every run after the first sensitive word is looked at once."""
+    sensitive = [m.end() for m in SENSITIVE.finditer(text)]
+    if not sensitive:
+        return []
     covered: list[tuple[int, int]] = []  # the base spans put together
     for s, _, e in base:
         if covered and s <= covered[-1][1]:
@@ -85,25 +119,43 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
         else:
             covered.append((s, e))
 
-    def measured(start: int, end: int) -> bool:
+    def nearest(start: int) -> int:
+        return sensitive[bisect_right(sensitive, start) - 1]
+
+    def measured(start: int, end: int, symbols: bool = False) -> bool:
         at = bisect_right(covered, (start, len(text)))
-        inside = at > 0 and end <= covered[at - 1][1]
-        return end - start >= LEAST_LENGTH and not inside and is_novel(text, start, end, novelty)
-
-    found, seen = [], -1
-    for m in SENSITIVE.finditer(text):
-        for c in CANDIDATE.finditer(text, m.end(), min(len(text), m.end() + REACH)):
-            start = c.start()
-            if start <= seen or (found and start < found[-1][2]):
-                continue
-            lines = [(start, CANDIDATE.match(text, start).end())]  # a string that goes on beyond the reach counts whole
+        distance = start - nearest(start)
+        if end - start < LEAST_LENGTH or (at > 0 and end <= covered[at - 1][1]):
+            return False
+        return (_changes(text[start:end]) if symbols or distance > CLOSE else True) and is_novel(text, start, end, novelty, distance)
+
+    def stands_alone(run: re.Match, start: int) -> bool:
+        """A run in quotes, one that is assigned, or one right after the sensitive word."""
+        quoted = text[run.start() - 1] in QUOTES and text[run.end() : run.end() + 1] in QUOTES
+        assigned = start > run.start() and text[start - 1] in ":="
+        near = max(nearest(start), start - CLOSE)
+        return quoted or assigned or text[max(0, run.start() - CLOSE) : run.start()].rstrip()[-1:] in (":", "=") or LEADING.fullmatch(text, near, start) is not None
+
+    found, at = [], sensitive[0]
+    while run := RUN.search(text, at):
+        at = run.end()
+        start, end = _inner(text, max([run.start(), *(m.end() for m in ASSIGNED.finditer(text, *run.span()))]), run.end())
+        whole = PIECE.fullmatch(text, start, end) is not None
+        lines = [(start, end)]
+        if whole:
             while lines[-1][1] - lines[-1][0] >= LEAST_LENGTH and (following := FOLLOWING.match(text, lines[-1][1])):
                 lines.append(following.span(1))
-            seen = lines[-1][0]
-            if len(lines) > 1 and measured(start, lines[-1][1]):
-                found.append((start, 3, lines[-1][1]))
-            else:
-                found += [(s, 3, e) for s, e in lines if measured(s, e)]
+            at = max(at, lines[-1][1])
+        if len(lines) > 1 and measured(start, lines[-1][1]):
+            found.append((start, 3, lines[-1][1]))
+            continue
+        if whole:
+            alone = [(s, 3, e) for s, e in lines if measured(s, e)]
+        elif stands_alone(run, start) and measured(start, end, symbols=True):
+            alone = [(start, 3, end)]
+        else:
+            alone = [(m.start(), 3, m.end()) for m in PIECE.finditer(text, start, end) if measured(*m.span())]
+        found += alone
     return found
 
 
