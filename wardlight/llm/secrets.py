@@ -7,14 +7,16 @@ frequent in the whole corpus. A string of which at least `LEAST_BYTES` bytes are
 as `novel`, if these are `LEAST_RATIO` bytes a character or `SURPLUS` bytes more than random
 characters of its own alphabet need, and it does not lie wholly in base spans. There is no
 distance at which a word stops to count: both bounds rise by a byte each time the distance from
-the nearest word before, in units of `NEAR` characters, doubles, and beyond `CLOSE` characters a string has to change
-between words, capitals and digits at least every `STRIDE` characters, as names in code do not.
+the nearest word before, in units of `NEAR` characters, doubles. A string has to change between
+words, capitals and digits at least every `STRIDE` characters, as names in code do not, unless it
+follows within `CLOSE` characters and holds letters and digits only.
 
 A string is a run of printable ASCII characters without blanks and quotes, symbols included, less
 the brackets and separators at its ends; of a run that assigns to a name with a sensitive word
-only the value. A run with further symbols counts as a whole where it stands in quotes, is assigned,
-or comes right after the word; if it doesn't or is not novel as a whole, its pieces of letters, digits and `+/_.=-` are
-measured. Lines that consist of one string and adjoin such a string, as in a key file, are
+only the value. A run with further symbols counts as a whole where it stands in quotes, is
+assigned, or comes right after the word; if it doesn't, or is not novel as a whole, its pieces of
+letters, digits and `+/_.=-` are measured.
+Lines that consist of one string and adjoin such a string, as in a key file, are
 measured together with it, and each by itself if that fails.
 
 The dictionary holds every identifier with at least `SHARE` of all identifiers of the corpus,
@@ -127,7 +129,8 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
         distance = start - nearest(start)
         if end - start < LEAST_LENGTH or (at > 0 and end <= covered[at - 1][1]):
             return False
-        return (_changes(text[start:end]) if symbols or distance > CLOSE else True) and is_novel(text, start, end, novelty, distance)
+        named = not symbols and distance <= CLOSE and text[start:end].isalnum()
+        return (named or _changes(text[start:end])) and is_novel(text, start, end, novelty, distance)
 
     def stands_alone(run: re.Match, start: int) -> bool:
         """A run in quotes, one that is assigned, or one right after the sensitive word."""
