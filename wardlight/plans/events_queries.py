@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlight import reference_data as ref
 from wardlight.functions import scalars as s
-from wardlight.operators import alerts, caregaps, events, fraud, highcost, retention, rollups, spells, views
+from wardlight.operators import alerts, caregaps, events, fraud, highcost, retention, rollups, sketches, spells, views
 from wardlight.operators.latest import latest_by
 from wardlight.plans.registry import plain, query, tables
 from wardlight.plans.warehouse import WEEK, Warehouse, coo_limits, cto_limits
@@ -104,17 +104,20 @@ for _size, _label in (("5 minutes", "5m"), ("1 hour", "1h"), ("15 minutes", "15m
     query(f"h09_tumbling_{_label}")(lambda w, size=_size: events.tumbling(w["claims_events"], "event_timestamp", size, ["claim_type"]))
 
 
+SPANS = {label: datetime.timedelta(minutes=m) for label, m in (("15 minutes", 15), ("30 minutes", 30), ("1 hour", 60), ("2 hours", 120), ("6 hours", 360),
+                                                               ("24 hours", 1440), ("72 hours", 4320), ("7 days", 10080))}
+
+
 @query("h10_lookback_counts")
 def _(w):
-    spans = ["15 minutes", "30 minutes", "1 hour", "2 hours", "6 hours", "24 hours", "72 hours", "7 days"]
-    parts = [events.lookback(w["claims_events"], "event_timestamp", w.now, span).agg(F.count(F.lit(1)).alias("event_count")).select(F.lit(span).alias("span"), "event_count") for span in spans]
-    return events.union_all(parts)
+    spans = list(SPANS)
+    longest = events.lookback(w["claims_events"], "event_timestamp", w.now, spans[-1])
+    counts = longest.agg(*[F.count_if(F.col("event_timestamp") > events.moment(w.now) - s.spark_interval(span)).alias(span) for span in spans])
+    return counts.unpivot([], spans, "span", "event_count")
 
 
 # Amounts of events are doubles: compared, not added, since sums would depend on their order.
 CLAIM_ROLLUP = rollups.Rollup("event_timestamp", ("claim_type",), {}, ("claim_amount",), ("claim_amount",))
-SPANS = {label: datetime.timedelta(minutes=m) for label, m in (("15 minutes", 15), ("30 minutes", 30), ("1 hour", 60), ("2 hours", 120), ("6 hours", 360),
-                                                               ("24 hours", 1440), ("72 hours", 4320), ("7 days", 10080))}
 
 
 def _off_the_minute(w: Warehouse) -> str:
@@ -424,6 +427,28 @@ def _(w):
     return _run(w, stateful.cross_patient_stream(_stream(w), DELAY, WEEK, "1 day"), "patients")
 
 
+def _signal_sets(w: Warehouse) -> DataFrame:
+    return events.union_all([w[t].select("event_timestamp", "patient_id", F.lit(t).alias("source_table")) for t in spells.SIGNALS])
+
+
+@query("l06_distinct_by_sketch")
+def _(w):
+    """Patients of each stream, and of all, over a week of days: out of stored sketches, held against the rows."""
+    path, rows = _fresh(w, "sketches"), _signal_sets(w)
+    files.save_table(sketches.by_day(rows, "event_timestamp", "patient_id", ["source_table"]), path, partition_by=[events.DAY])
+    last = F.to_date(events.moment(w.now))
+    week = files.read_table(w.spark, path).filter(F.col(events.DAY).between(F.date_sub(last, 6), last))
+    exact = rows.filter(F.to_date("event_timestamp").between(F.date_sub(last, 6), last)).filter(F.col("patient_id").isNotNull())
+    each = sketches.distinct(week, ["source_table"]).join(exact.groupBy("source_table").agg(F.count_distinct("patient_id").alias("patients")), "source_table")
+    each = each.select("source_table", "patients", (F.abs(F.col("distinct_count") - F.col("patients")) <= sketches.allowed(F.col("patients"))).alias("within_bound"))
+    streams = list(spells.SIGNALS)
+    of_patient = exact.groupBy("patient_id").agg(F.count_distinct("source_table").alias("n"))
+    counted = of_patient.agg(F.count_if(F.col("n") == len(streams)).alias("patients"), F.count(F.lit(1)).alias("everyone")).withColumn("source_table", F.lit("shared by all"))
+    both = sketches.shared(week, "source_table", streams).withColumn("source_table", F.lit("shared by all")).join(counted, "source_table")
+    both = both.select("source_table", "patients", (F.abs(F.col("shared_count") - F.col("patients")) <= sketches.allowed(F.col("patients"), F.col("everyone"))).alias("within_bound"))
+    return each.unionByName(both)
+
+
 @query("j31_cross_stream_patients")
 def _(w):
     return views.cross_stream_patients(w["all_alerts"], w.now, WEEK)
