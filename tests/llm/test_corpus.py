@@ -65,6 +65,15 @@ def test_phrases_of_odd_rows(odd, none):
     assert phrases_of(frame, least=1) == phrase_rows(small, 1, 2000)
 
 
+def test_long_words_with_a_pattern_are_told_apart(spark):
+    """Thue-Morse words: a polynomial modulo 2^64 is the same for both, whatever its base."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [("en", f"{one} x")] * 5 + [("en", f"{other} x")] * 7 + [("en", f"{one.upper()} {other}. y")] * 4
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    assert phrases_of(frame, least=4) == phrase_rows(rows, 4, 2000)
+
+
 def test_scores_beyond_64_bits(spark):
     rows = [("en", "p q")] * 3 + [("en", "r " * 1000)] * 5
     frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
