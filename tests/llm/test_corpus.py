@@ -74,6 +74,22 @@ def test_long_words_with_a_pattern_are_told_apart(spark):
     assert phrases_of(frame, least=4) == phrase_rows(rows, 4, 2000)
 
 
+def test_slots_reach_the_driver_in_one_job(spark):
+    """However many partitions hold them; each level in its turn."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.sparkContext.setJobGroup("slots", "")
+    try:
+        rows = spark.range(1 << 18).selectExpr("int(id % 3) AS level", "id * 4 AS h")
+        found = [(level, x) for level, slot in collocations._bitmap(rows, 21) for x in slot.tolist()]
+    finally:
+        spark.sparkContext.setJobGroup(None, None)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [x[0] for x in found] == sorted(x[0] for x in found) and sorted(found) == sorted((i % 3, i * 4) for i in range(1 << 18))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("slots")) <= 3
+
+
 def test_scores_beyond_64_bits(spark):
     rows = [("en", "p q")] * 3 + [("en", "r " * 1000)] * 5
     frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
