@@ -63,6 +63,18 @@ def test_velocity_over_micro_batches_equals_batch(spark, folder, rows):
     assert got.agg(F.max("claims_in_window")).first()[0] > 20
 
 
+def test_velocity_leaves_no_claim_out(spark, folder, rows):
+    """The last claims, within the delay, come out of the state when the stream has stopped; ties and parts included."""
+    bodies = [_claim(i, f"2024-01-01T{10 + i // 40}:{i % 40 * 3 // 2:02d}:{i % 2 * 30:02d}", "pq"[i % 3 == 0]) for i in range(120)] + [_claim(200 + i, "2024-01-01T12:58:30.25") for i in range(4)] + [_claim(900, "bad-time")]
+    for k in range(3):
+        _land(spark, f"{folder}/in", bodies[42 * k : 42 * k + 42], k)
+    given = _run(stateful.velocity_stream(jobs.landing_stream(spark, f"{folder}/in", 1), "1 hour", part=900), folder)
+    got = given.unionByName(stateful.velocity_rest(spark, f"{folder}/cp"))
+    want = fraud.velocity_score(landing.route(landing.parse_events(spark.read.parquet(f"{folder}/in")), "claims_events"))
+    assert rows(got, "event_id", "claims_in_window", "velocity_score") == rows(want, "event_id", "claims_in_window", "velocity_score")
+    assert 0 < given.count() < got.count() == len(bodies)
+
+
 def test_state_of_velocity_is_let_go(spark, folder):
     for k in range(6):
         _land(spark, f"{folder}/in", [_claim(10 * k + i, f"2024-01-0{k + 1}T10:0{i}:00", f"p{k}") for i in range(9)], k)

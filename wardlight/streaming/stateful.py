@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -90,8 +90,27 @@ def velocity_stream(stream: DataFrame, delay: str, reach: int = REACH, part: int
     parts = F.sequence(own, F.floor((F.col("at") + reach) / part))
     dealt = claims.withColumn("place", F.explode(parts)).withColumn("own", F.col("place") == own)
     counted = dealt.groupBy("provider_id", "place").applyInPandasWithState(_score_part(reach, part), _VELOCITY, _PENDING, "append", GroupStateTimeout.EventTimeTimeout)
+    return _velocity_scored(counted.unionByName(untimed))
+
+
+def _velocity_scored(counted: DataFrame) -> DataFrame:
     n = F.col("claims_in_window")
-    return counted.unionByName(untimed).withColumn("velocity_score", F.when(n > 5, F.least(F.lit(30), (n - 5) * 6)).otherwise(0))
+    return counted.withColumn("velocity_score", F.when(n > 5, F.least(F.lit(30), (n - 5) * 6)).otherwise(0))
+
+
+def velocity_rest(spark: SparkSession, checkpoint: str, reach: int = REACH) -> DataFrame:
+    """The claims that still wait when `velocity_stream` has stopped, scored from its state.
+
+    With what the stream gave out these are all claims: none comes after the last file. A stream
+    that goes on gives them out itself.
+    """
+    state = spark.read.format("statestore").load(checkpoint).select("key.provider_id", "key.place", "value.groupState.*").filter(F.size("waiting") > 0)
+    trailing = Window.partitionBy("provider_id", "place").orderBy("at").rangeBetween(-reach, 0)
+    seconds = state.select("provider_id", "place", F.explode(F.arrays_zip(F.col("seconds").alias("at"), F.col("counts").alias("n"))).alias("x")).select("provider_id", "place", "x.*")
+    counts = seconds.select("provider_id", "place", "at", F.sum("n").over(trailing).alias("claims_in_window"))
+    waiting = state.select("provider_id", "place", F.explode("waiting").alias("x")).select("provider_id", "place", "x.*")
+    found = waiting.join(counts, ["provider_id", "place", "at"])
+    return _velocity_scored(found.select("event_id", "provider_id", F.timestamp_micros("micros").alias("event_timestamp"), "claims_in_window"))
 
 
 def readmission_stream(stream: DataFrame, delay: str, days: int = 30) -> DataFrame:
