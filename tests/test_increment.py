@@ -1,13 +1,17 @@
 """The incremental load on hand-made rows: touched months, moved rows, reruns."""
 
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from tests import compare
 from wardlight.operators import increment, metrics
 
 KEY = "day"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def _files(spark, path):
@@ -144,3 +148,12 @@ def test_a_group_that_only_one_table_has_is_kept(spark, rows):
     tables = {"dim_payer": payer, "dim_provider": provider, "fact_claim": claims, "fact_premium": premiums}
     out = metrics.evaluate(tables, ["total_claims", "total_premium_revenue"], ["dim_payer.payer_name", "dim_provider.specialty"])
     assert [(r[0], r[1], r[2], float(r[3])) for r in rows(out)] == [("P1", "Oncology", 2, 5.0), ("P2", None, None, 9.0)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no source tables")
+def test_claims_keep_the_key_of_their_encounter(spark):
+    """Also where first load and drop give encounters other keys than a full build."""
+    con, name = compare.connect(SF_DIR), "c23_increment_claims"
+    got = entry.queries()[name](spark, SF_DIR)
+    assert compare.difference(got, con, entry.oracle_sql()[name]) is None
+    assert got.filter("encounter_key IS NOT NULL").count() > 0
