@@ -5,6 +5,7 @@ import math
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from wardlight.llm import collocations, lexical_search, suffix_arrays, suffix_dedup
+from wardlight.session import shared_dir
 
 CAPITALS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SF = "/root/testdata/sf0.001"
@@ -43,6 +45,21 @@ def phrases_of(frame, **how):
     return {tuple(r) for r in collocations.collocations(frame, **how).collect()}
 
 
+def test_scans_read_words_and_carry_open_sums_only(spark):
+    """What the scans share holds no texts, and of a phrase that has met every shard below the threshold no sum."""
+    rows = [(i, "en", f"p q r rare{i}. P q! other{i % 9} p q r") for i in range(60)]
+    before = set(Path(shared_dir(spark).removeprefix("file:")).glob("phrases-*"))
+    collocations.frequent(spark.createDataFrame(rows, "doc_id long, lang string, text string"), least=10, shards=3)
+    (base,) = set(Path(shared_dir(spark).removeprefix("file:")).glob("phrases-*")) - before
+    assert "text" not in spark.read.parquet(f"{base}/corpus").columns
+    steps = sorted((base / "counts").iterdir())
+    assert len(steps) > 3
+    for step, folder in enumerate(steps):
+        found = spark.read.parquet(str(folder))
+        assert found.filter(f"total < 10 AND until <= {step}").isEmpty()
+        assert found.filter(f"until >= {step + 3}").isEmpty()
+
+
 @pytest.mark.parametrize("shards, bits", [(1, 15), (2, 16), (4, 3)])
 def test_phrases_match_brute_force(spark, shards, bits):
     """Also with so few slots that most phrases are counted without need."""
