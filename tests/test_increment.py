@@ -87,6 +87,44 @@ def test_an_empty_drop_touches_nothing(spark, stored):
     assert _files(spark, stored) == before
 
 
+def test_a_drop_is_computed_once(spark, stored):
+    """Rows of the drop cost a load of their own: keys, changes and months are made from what was written of them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    drop = spark.createDataFrame(DROP, "id string, day int, v long")
+    counted = drop.mapInArrow(count, drop.schema)
+    increment.merge_months(spark, stored, counted, "id", increment.month_of_key(KEY), "sk", "d1", ids=drop)
+    assert seen.value == len(DROP)
+
+
+def test_a_load_that_stops_between_its_changes_is_run_again(spark, rows, stored, monkeypatch):
+    real = increment._write_changes
+
+    def stop(df, at, sign):
+        if sign < 0:
+            raise RuntimeError("lost")
+        return real(df, at, sign)
+
+    monkeypatch.setattr(increment, "_write_changes", stop)
+    with pytest.raises(RuntimeError):
+        _merge(spark, stored, [("x", 20200120, 1)])
+    monkeypatch.setattr(increment, "_write_changes", real)
+    _merge(spark, stored, DROP)
+    assert _rows(spark, rows, stored) == AFTER
+
+
+def test_repeated_keys_of_a_drop_share_their_number(spark, rows, stored):
+    drop = [("c", 20200120, 31), ("c", 20200120, 32), ("e", 20200401, 60), ("e", 20200402, 61), (None, None, 51), (None, None, 52)]
+    _merge(spark, stored, drop)
+    assert _rows(spark, rows, stored, "id", "sk", "v") == sorted(
+        [("a", 1, 10), ("b", 2, 20), ("c", 3, 31), ("c", 3, 32), ("d", 4, 40), ("e", 6, 60), ("e", 6, 61), (None, 5, 51), (None, 5, 52)], key=repr)
+
+
 def test_old_versions_are_forgotten(spark, rows, stored):
     _merge(spark, stored, DROP)
     assert [r[0] for r in rows(increment.read_months(spark, stored, after="first"), "id") if r[0]] == ["a", "b", "c", "d"]
