@@ -71,6 +71,23 @@ def test_a_filter_on_either_column_skips_most_rows(spark, tmp_path, partitioned)
         assert 0 < _read_rows(spark, stored.filter(condition)) < len(rows) / 3, condition
 
 
+def test_a_partition_is_a_few_files_and_not_one_of_each_task(spark, tmp_path):
+    rng = random.Random(5)
+    df = spark.createDataFrame([(rng.randrange(30), rng.randrange(1, 32), rng.randrange(12)) for _ in range(6000)], "payer long, day long, month long").repartition(4)
+    path = str(tmp_path / "t")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # as many tasks as a large table has
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        clustering.save_clustered_by(df, path, [(F.col("payer"), range(1, 30)), (F.col("day"), range(2, 32))], ["month"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = spark.read.parquet(path).inputFiles()
+    assert spark.read.parquet(path).count() == 6000 and len(files) <= 12 * 2**clustering.PIECES
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no source tables")
 def test_claims_lie_along_the_curve_within_their_months(spark):
     w = open_warehouse(spark, SF_DIR)
